@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table
-from . import addresses
+from . import addresses, boilerplate, leakage
 
 
 def p1_found(spark: SparkSession, base: str) -> DataFrame:
@@ -16,5 +16,13 @@ def p1_found(spark: SparkSession, base: str) -> DataFrame:
     return addresses.same_address(records, towns, conf)
 
 
-QUERIES = {f.__name__: f for f in (p1_found,)}
+def p3_found(spark: SparkSession, base: str) -> DataFrame:
+    return boilerplate.strip_boilerplate(table(spark, base, "page_result"))
+
+
+def p9_found(spark: SparkSession, base: str) -> DataFrame:
+    return leakage.find_leaks(table(spark, base, "documents"), table(spark, base, "eval_items"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p3_found, p9_found)}
 SQL: dict[str, str] = {}
