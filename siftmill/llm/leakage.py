@@ -73,6 +73,7 @@ class ItemIndex:
         self.ids = [i for i, _ in items]
         self.words = [words_of(t or "") for _, t in items]
         self.bounds = [self._bounds(w, conf) for w in self.words]
+        self.least = np.array([b[2].min() for b in self.bounds])
         grams, owner, place = [], [], []
         for k, w in enumerate(self.words):
             g = _grams(_pack(w))
@@ -190,7 +191,7 @@ def leaked(text: str | None, index: ItemIndex, conf: LeakConf) -> list[int]:
         return []
     found: list[int] = []
     starts = np.cumsum([1] + [len(w) + 1 for w in words])  # first byte of each word
-    for k in np.flatnonzero(np.bincount(owner, minlength=len(index.ids))):
+    for k in np.flatnonzero(np.bincount(owner, minlength=len(index.ids)) >= index.least):
         mine = owner == k
         if not index.reaches(k, place[mine]):
             continue
