@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import table
-from . import addresses, boilerplate, leakage
+from . import addresses, boilerplate, leakage, survivorship, toxicity
 
 
 def p1_found(spark: SparkSession, base: str) -> DataFrame:
@@ -24,5 +25,30 @@ def p9_found(spark: SparkSession, base: str) -> DataFrame:
     return leakage.find_leaks(table(spark, base, "documents"), table(spark, base, "eval_items"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p3_found, p9_found)}
+def p4_found(spark: SparkSession, base: str) -> DataFrame:
+    return survivorship.survivors(table(spark, base, "clean_contacts"))
+
+
+def _toxic_scores(spark: SparkSession, base: str, conf: toxicity.ToxicConf) -> DataFrame:
+    documents = table(spark, base, "documents")
+    sample = toxicity.labelled(documents, table(spark, base, "doc_labels"), conf)
+    model = toxicity.fit([t for _, t, _ in sample], [y for _, _, y in sample], conf)
+    return toxicity.score_documents(documents, model)
+
+
+def p10_found(spark: SparkSession, base: str) -> DataFrame:
+    conf = toxicity.ToxicConf()
+    return _toxic_scores(spark, base, conf).filter(F.col("score") >= conf.review).select("doc_id")
+
+
+def p10_scores(spark: SparkSession, base: str) -> DataFrame:
+    return _toxic_scores(spark, base, toxicity.ToxicConf())
+
+
+def p10_rates(spark: SparkSession, base: str) -> DataFrame:
+    conf = toxicity.ToxicConf()
+    return toxicity.rates_by_source(_toxic_scores(spark, base, conf), conf)
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p3_found, p4_found, p9_found, p10_found, p10_scores, p10_rates)}
 SQL: dict[str, str] = {}
