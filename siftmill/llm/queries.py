@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import addresses, boilerplate, leakage, survivorship, toxicity
+from . import addresses, boilerplate, leakage, names, survivorship, toxicity
 
 
 def p1_found(spark: SparkSession, base: str) -> DataFrame:
@@ -21,6 +21,13 @@ def p3_found(spark: SparkSession, base: str) -> DataFrame:
     return boilerplate.strip_boilerplate(table(spark, base, "page_result"))
 
 
+def p5_found(spark: SparkSession, base: str) -> DataFrame:
+    s = table(spark, base, "standardize")
+    towns = addresses.commune_dictionary(s, "code_postal", "commune", addresses.AddressConf())
+    records = names.name_records(table(spark, base, "scrape_context"), table(spark, base, "maps_scraper"), s)
+    return names.same_names(records, towns)
+
+
 def p9_found(spark: SparkSession, base: str) -> DataFrame:
     return leakage.find_leaks(table(spark, base, "documents"), table(spark, base, "eval_items"))
 
@@ -50,5 +57,5 @@ def p10_rates(spark: SparkSession, base: str) -> DataFrame:
     return toxicity.rates_by_source(_toxic_scores(spark, base, conf), conf)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p3_found, p4_found, p9_found, p10_found, p10_scores, p10_rates)}
+QUERIES = {f.__name__: f for f in (p1_found, p3_found, p4_found, p5_found, p9_found, p10_found, p10_scores, p10_rates)}
 SQL: dict[str, str] = {}
