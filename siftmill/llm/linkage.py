@@ -16,37 +16,38 @@ from ..session import cut
 def average_linkage(nodes: DataFrame, edges: DataFrame, threshold: float, most_rounds: int = 40) -> DataFrame:
     """(id, cluster) for nodes (id) and edges (a, b, sim), each pair once; absent pairs count 0.
 
-    Two clusters merge while their mean similarity reaches the threshold. Ties go to the
-    smaller id. Empty edges leave every node alone.
+    Two clusters merge while their mean similarity reaches the threshold. Ties are
+    settled by a hash of the pair. Empty edges leave every node alone.
     """
-    label = nodes.select("id", F.col("id").alias("cluster"), F.lit(1).cast("long").alias("size"))
-    # Edges carry sums over the node pairs of two clusters.
-    links = cut(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.col("sim").cast("double").alias("sum")).filter("a <> b").groupBy("a", "b").agg(F.max("sum").alias("sum")))
-    sizes = links.select(F.explode(F.array("a", "b")).alias("c")).distinct().withColumn("n", F.lit(1).cast("long"))
-    moves = None
+    once = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.col("sim").cast("double").alias("sum")).filter("a <> b").groupBy("a", "b").agg(F.max("sum").alias("sum"))
+    one = F.lit(1).cast("long")
+    # Both directions of every pair, with the similarity sum over its members and both sizes.
+    links = cut(once.select("a", "b", "sum", one.alias("na"), one.alias("nb")).unionByName(once.select(F.col("b").alias("a"), F.col("a").alias("b"), "sum", one.alias("na"), one.alias("nb"))))
+    merged = []
     for _ in range(most_rounds):
-        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"), "sum"))
-        mean = (
-            both.join(sizes.withColumnRenamed("c", "a").withColumnRenamed("n", "na"), "a")
-            .join(sizes.withColumnRenamed("c", "b").withColumnRenamed("n", "nb"), "b")
-            .withColumn("mean", F.col("sum") / (F.col("na") * F.col("nb")))
-            .filter(F.col("mean") >= threshold)
-        )
+        mean = F.col("sum") / (F.col("na") * F.col("nb"))
         # Equal means are ordered by the pair itself, the same for both ends, so a best pair is always reciprocal.
-        order = F.struct("mean", (-F.xxhash64(F.least("a", "b"), F.greatest("a", "b"))).alias("h"))
-        best = mean.groupBy("a").agg(F.max_by("b", order).alias("b"))
-        back = best.select(F.col("b").alias("a"), F.col("a").alias("b"))
-        pairs = cut(best.join(back, ["a", "b"]).filter("a < b").select(F.col("a").alias("into"), F.col("b").alias("old")))
+        order = F.struct(mean.alias("mean"), (-F.xxhash64(F.least("a", "b"), F.greatest("a", "b"))).alias("h"))
+        best = links.filter(mean >= threshold).groupBy("a").agg(F.max_by(F.struct("b", (F.col("na") + F.col("nb")).alias("n")), order).alias("m")).select("a", "m.b", "m.n")
+        found = best.groupBy(F.least("a", "b").alias("into"), F.greatest("a", "b").alias("old")).agg(F.count("*").alias("ends"), F.max("n").alias("n")).filter("ends = 2")
+        pairs = cut(found.select("into", "old", "n"))
         if pairs.isEmpty():
             break
-        moves = pairs if moves is None else cut(moves.join(pairs.select(F.col("old").alias("into"), F.col("into").alias("next")), "into", "left").select(F.coalesce("next", "into").alias("into"), "old").unionByName(pairs))
-        to = lambda c: pairs.select(F.col("old").alias(c), F.col("into").alias(f"{c}_to"))  # noqa: E731,B023
-        links = cut(
-            links.join(to("a"), "a", "left").join(to("b"), "b", "left")
-            .select(F.coalesce("a_to", "a").alias("x"), F.coalesce("b_to", "b").alias("y"), "sum").filter("x <> y")
-            .groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.sum("sum").alias("sum"))
-        )
-        sizes = cut(sizes.join(pairs.select(F.col("old").alias("c"), "into"), "c", "left").groupBy(F.coalesce("into", "c").alias("c")).agg(F.sum("n").alias("n")))
-    if moves is None:
-        return label.select("id", "cluster")
-    return label.join(moves.select(F.col("old").alias("id"), "into"), "id", "left").select("id", F.coalesce("into", "cluster").alias("cluster"))
+        merged.append(pairs.select("old", "into"))
+        to = pairs.select(F.explode(F.array(F.struct(F.col("into").alias("k"), "into", "n"), F.struct(F.col("old").alias("k"), "into", "n"))).alias("x")).select("x.k", "x.into", "x.n")
+        ta, tb = to.toDF("a", "ia", "sa"), to.toDF("b", "ib", "sb")
+        moved = links.join(ta, "a", "left").join(tb, "b", "left").select(
+            F.coalesce("ia", "a").alias("a"), F.coalesce("ib", "b").alias("b"), "sum", F.coalesce("sa", "na").alias("na"), F.coalesce("sb", "nb").alias("nb")
+        )
+        links = cut(moved.filter("a <> b").groupBy("a", "b").agg(F.sum("sum").alias("sum"), F.max("na").alias("na"), F.max("nb").alias("nb")))
+    if not merged:
+        return nodes.select("id", F.col("id").alias("cluster"))
+    # Every merged cluster points to what it went into: follow the pointers, doubling their reach.
+    moves = merged[0]
+    for more in merged[1:]:
+        moves = moves.unionByName(more)
+    moves, reach = cut(moves), 1
+    while reach < len(merged):
+        moves = cut(moves.join(moves.select(F.col("old").alias("into"), F.col("into").alias("next")), "into", "left").select("old", F.coalesce("next", "into").alias("into")))
+        reach *= 2
+    return nodes.join(moves.withColumnRenamed("old", "id"), "id", "left").select("id", F.coalesce("into", "id").alias("cluster"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import addresses, boilerplate, leakage, names, survivorship, toxicity
+from . import addresses, boilerplate, leakage, names, softlogic, survivorship, toxicity
 
 
 def p1_found(spark: SparkSession, base: str) -> DataFrame:
@@ -28,6 +28,15 @@ def p5_found(spark: SparkSession, base: str) -> DataFrame:
     return names.same_names(records, towns)
 
 
+def p7_scored(spark: SparkSession, base: str) -> DataFrame:
+    towns = addresses.commune_dictionary(table(spark, base, "standardize"), "code_postal", "commune", addresses.AddressConf())
+    return softlogic.link(table(spark, base, "maps_scraper"), table(spark, base, "scrape_context"), towns)
+
+
+def p7_found(spark: SparkSession, base: str) -> DataFrame:
+    return p7_scored(spark, base).select("maps_id", "context_id")
+
+
 def p9_found(spark: SparkSession, base: str) -> DataFrame:
     return leakage.find_leaks(table(spark, base, "documents"), table(spark, base, "eval_items"))
 
@@ -57,5 +66,5 @@ def p10_rates(spark: SparkSession, base: str) -> DataFrame:
     return toxicity.rates_by_source(_toxic_scores(spark, base, conf), conf)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p3_found, p4_found, p5_found, p9_found, p10_found, p10_scores, p10_rates)}
+QUERIES = {f.__name__: f for f in (p1_found, p3_found, p4_found, p5_found, p7_found, p7_scored, p9_found, p10_found, p10_scores, p10_rates)}
 SQL: dict[str, str] = {}
