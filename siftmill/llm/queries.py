@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import addresses, boilerplate, leakage, names, softlogic, survivorship, toxicity
+from . import addresses, boilerplate, leakage, names, packing, softlogic, survivorship, toxicity
 
 
 def p1_found(spark: SparkSession, base: str) -> DataFrame:
@@ -37,6 +37,14 @@ def p7_found(spark: SparkSession, base: str) -> DataFrame:
     return p7_scored(spark, base).select("maps_id", "context_id")
 
 
+def p8_containers(spark: SparkSession, base: str) -> DataFrame:
+    return packing.pack(table(spark, base, "documents"))
+
+
+def p8_usage(spark: SparkSession, base: str) -> DataFrame:
+    return packing.usage(p8_containers(spark, base))
+
+
 def p9_found(spark: SparkSession, base: str) -> DataFrame:
     return leakage.find_leaks(table(spark, base, "documents"), table(spark, base, "eval_items"))
 
@@ -66,5 +74,5 @@ def p10_rates(spark: SparkSession, base: str) -> DataFrame:
     return toxicity.rates_by_source(_toxic_scores(spark, base, conf), conf)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p3_found, p4_found, p5_found, p7_found, p7_scored, p9_found, p10_found, p10_scores, p10_rates)}
+QUERIES = {f.__name__: f for f in (p1_found, p3_found, p4_found, p5_found, p7_found, p7_scored, p8_containers, p8_usage, p9_found, p10_found, p10_scores, p10_rates)}
 SQL: dict[str, str] = {}
