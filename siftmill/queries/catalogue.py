@@ -175,7 +175,7 @@ _U = """WITH s AS (SELECT row_id, nullif(trim(siren),'') a, nullif(trim(email),'
 x AS (SELECT row_id, count(a) OVER (PARTITION BY a) na, count(b) OVER (PARTITION BY b) nb FROM s)"""
 
 
-@query(_U + " SELECT row_id, round(1.0 - CASE WHEN na > 1 THEN 0.25 ELSE 0 END - CASE WHEN nb > 1 THEN 0.25 ELSE 0 END, 2) AS unicity FROM x")
+@query(_U + " SELECT row_id, round(1.0 - CASE WHEN na > 1 THEN 0.25 ELSE 0 END - CASE WHEN nb > 1 THEN 0.25 ELSE 0 END, 2)::DOUBLE AS unicity FROM x")
 def unicity_score(spark, base):
     df = table(spark, base, "standardize").select("row_id", F.nullif(F.trim("siren"), F.lit("")).alias("a"), F.nullif(F.trim("email"), F.lit("")).alias("b"))
     for c in ("a", "b"):
