@@ -2,7 +2,8 @@
 
 Merging reciprocal nearest neighbours gives the dendrogram of average linkage
 (the update is reducible), so every round merges all reciprocal pairs at once and no
-component is ever brought into one task.
+component is ever brought into one task. Joins are merge joins by hint: many small
+broadcast tables in a row would fill the driver.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ def average_linkage(nodes: DataFrame, edges: DataFrame, threshold: float, most_r
         merged.append(pairs.select("old", "into"))
         to = pairs.select(F.explode(F.array(F.struct(F.col("into").alias("k"), "into", "n"), F.struct(F.col("old").alias("k"), "into", "n"))).alias("x")).select("x.k", "x.into", "x.n")
         ta, tb = to.toDF("a", "ia", "sa"), to.toDF("b", "ib", "sb")
-        moved = links.join(ta, "a", "left").join(tb, "b", "left").select(
+        moved = links.join(ta.hint("merge"), "a", "left").join(tb.hint("merge"), "b", "left").select(
             F.coalesce("ia", "a").alias("a"), F.coalesce("ib", "b").alias("b"), "sum", F.coalesce("sa", "na").alias("na"), F.coalesce("sb", "nb").alias("nb")
         )
         links = cut(moved.filter("a <> b").groupBy("a", "b").agg(F.sum("sum").alias("sum"), F.max("na").alias("na"), F.max("nb").alias("nb")))
@@ -48,6 +49,6 @@ def average_linkage(nodes: DataFrame, edges: DataFrame, threshold: float, most_r
         moves = moves.unionByName(more)
     moves, reach = cut(moves), 1
     while reach < len(merged):
-        moves = cut(moves.join(moves.select(F.col("old").alias("into"), F.col("into").alias("next")), "into", "left").select("old", F.coalesce("next", "into").alias("into")))
+        moves = cut(moves.join(moves.select(F.col("old").alias("into"), F.col("into").alias("next")).hint("merge"), "into", "left").select("old", F.coalesce("next", "into").alias("into")))
         reach *= 2
-    return nodes.join(moves.withColumnRenamed("old", "id"), "id", "left").select("id", F.coalesce("into", "id").alias("cluster"))
+    return nodes.join(moves.withColumnRenamed("old", "id").hint("merge"), "id", "left").select("id", F.coalesce("into", "id").alias("cluster"))
