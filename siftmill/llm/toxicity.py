@@ -186,6 +186,8 @@ def _logistic(x: _Rows, y: np.ndarray, weight: np.ndarray, pairs: tuple[np.ndarr
     d, m1, m2, c1, c2 = conf.buckets, 0.0, 0.0, 0.0, 0.0
     w = w.copy()
     total = weight.sum()
+    if not total:
+        return w, -30.0  # nothing to learn from: nothing is toxic
     for t in range(1, conf.steps + 1):
         p = 1 / (1 + np.exp(-np.clip(x.dot(w) + b, -30, 30)))
         g = weight * (p - y) / total
