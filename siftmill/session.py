@@ -36,10 +36,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+_cuts = 0
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage of `df` through a reliable checkpoint (survives lost executors)."""
+    """Cut the lineage of `df` through a reliable checkpoint (survives lost executors).
+
+    Shuffle and checkpoint files of earlier rounds go only when the driver collects its
+    garbage, so iterative operators have it do so now and then.
+    """
+    global _cuts
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    _cuts += 1
+    if _cuts % 3 == 0:
+        df.sparkSession.sparkContext._jvm.System.gc()
+    return out
 
 
 def width(spark: SparkSession) -> int:
