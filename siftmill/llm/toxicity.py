@@ -44,11 +44,11 @@ class ToxicConf:
     buckets: int = 1 << 18
     steps: int = 120
     rounds: int = 2
-    l2: float = 0.05
-    support: int = 3
+    l2: float = 0.1
+    support: int = 5
     swap: float = 0.5
     span: int = 24
-    review: float = 0.5
+    review: float = 0.65
 
 
 def tokens(text: str) -> list[str]:
