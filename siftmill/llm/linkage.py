@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..session import cut
 
 
-def average_linkage(nodes: DataFrame, edges: DataFrame, threshold: float, most_rounds: int = 40) -> DataFrame:
+def average_linkage(nodes: DataFrame, edges: DataFrame, threshold: float) -> DataFrame:
     """(id, cluster) for nodes (id) and edges (a, b, sim), each pair once; absent pairs count 0.
 
     Two clusters merge while their mean similarity reaches the threshold. Ties are
@@ -25,7 +25,7 @@ def average_linkage(nodes: DataFrame, edges: DataFrame, threshold: float, most_r
     # Both directions of every pair, with the similarity sum over its members and both sizes.
     links = cut(once.select("a", "b", "sum", one.alias("na"), one.alias("nb")).unionByName(once.select(F.col("b").alias("a"), F.col("a").alias("b"), "sum", one.alias("na"), one.alias("nb"))))
     merged = []
-    for _ in range(most_rounds):
+    while True:
         mean = F.col("sum") / (F.col("na") * F.col("nb"))
         # Equal means are ordered by the pair itself, the same for both ends, so a best pair is always reciprocal.
         order = F.struct(mean.alias("mean"), (-F.xxhash64(F.least("a", "b"), F.greatest("a", "b"))).alias("h"))
