@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from ..session import cut
 
-# Logical columns of the consistent table, their types and the
-# names under which registry exports deliver them.
+# Names under which registry exports deliver known columns of the
+# consistent table, and their types; all other columns come from the data.
 TARGETS = {
     "siret": ("string", ["siret", "id_etablissement"]),
     "denomination": ("string", ["denomination", "denominationUniteLegale", "raison_sociale", "nom_societe", "company_name", "lib_entreprise"]),
@@ -29,6 +29,9 @@ TARGETS = {
     "etat_administratif": ("string", ["etat_administratif", "etatAdministratifEtablissement", "etat"]),
     "effectif": ("long", ["effectif", "trancheEffectifsEtablissement", "effectif_salarie"]),
     "capital_social": ("double", ["capital_social"]),
+    "telephone": ("string", ["telephone", "phone", "tel"]),
+    "email": ("string", ["email", "e_mail"]),
+    "siteweb": ("string", ["siteweb", "site_web"]),
 }
 
 
@@ -63,7 +66,7 @@ def path_values(df: DataFrame) -> DataFrame:
     """One row per (line, field): feed_id, file_seq, raw_id, line_no, field, kind, raw, canon.
 
     Unreadable lines (cut, not an object, null, repeated key) give no row; a field
-    whose value is null has kind null. Exact repeats of a line within one file are
+    whose value is null has kind null; a line without fields has one row of field null. Exact repeats of a line within one file are
     counted once (the lowest raw_id stands for them).
     """
     lines = (
@@ -75,7 +78,7 @@ def path_values(df: DataFrame) -> DataFrame:
         .filter(F.col("v").isNotNull() & F.col("m").isNotNull())
     )
     keep = ["raw_id", "line_no", "feed_id", "file_seq", "m", "v"]
-    out = lines.select(*keep, F.explode(F.map_keys("m")).alias("field"))
+    out = lines.select(*keep, F.explode_outer(F.map_keys("m")).alias("field"))
     # The value is addressed by its key; dots and quotes in keys are kept apart.
     out = out.withColumn("raw", F.element_at("m", F.col("field")))
     typed = out.withColumn("t", F.expr("schema_of_variant(try_variant_get(v, concat('$[\"', replace(field, '\"', ''), '\"]'), 'variant'))"))
@@ -87,7 +90,7 @@ def path_values(df: DataFrame) -> DataFrame:
 
 def path_stats(cells: DataFrame) -> DataFrame:
     """Statistics by file and field: lines, non-null values, ruling type (most values; ties by name)."""
-    by = cells.groupBy("feed_id", "file_seq", "field", "kind").agg(F.count("*").alias("n"))
+    by = cells.filter("field is not null").groupBy("feed_id", "file_seq", "field", "kind").agg(F.count("*").alias("n"))
     return by.groupBy("feed_id", "file_seq", "field").agg(
         F.sum("n").alias("n_lines"),
         F.sum(F.when(F.col("kind").isNotNull(), F.col("n")).otherwise(0)).alias("n_values"),
@@ -161,9 +164,64 @@ def schema_changes(cells: DataFrame, conf: DriftConf = DriftConf()) -> DataFrame
     )
 
 
-def _logical(conf: DriftConf) -> Column:
-    pairs = [x for name, (_, names) in conf.targets.items() for alias in names for x in (F.lit(alias.lower()), F.lit(name))]
-    return F.create_map(*pairs)[F.lower("field")]
+def _columns(cells: DataFrame, conf: DriftConf) -> tuple[dict[str, str], dict[str, str]]:
+    """(column of every field name in small letters, type of every column).
+
+    Names are one column where the targets say so or a rename was found, the most
+    frequent rename first. A rename joins neither two targets nor names that stand
+    beside each other in one file. A column that is no target bears its commonest name
+    and the type of most of its values. Only names and counts reach the driver.
+    """
+    stats = path_stats(cells)
+    low = F.lower("field").alias("field")
+    values = stats.groupBy(low, "kind").agg(F.sum("n_values").alias("n"), F.collect_set(F.struct("feed_id", "file_seq")).alias("files")).collect()
+    count: dict[str, dict[str | None, int]] = {}
+    files: dict[str, set] = {}
+    for r in values:
+        count.setdefault(r.field, {})[r.kind] = r.n
+        files.setdefault(r.field, set()).update(tuple(f) for f in r.files)
+    total = {f: sum(k.values()) for f, k in count.items()}
+    group = {f: f for f in count}
+    members = {f: [f] for f in count}
+    target: dict[str, str] = {}
+
+    def unite(a: str, b: str) -> None:
+        for f in members[b]:
+            group[f] = a
+        members[a] += members.pop(b)
+        files[a] = files[a] | files[b]
+
+    for name, (_, names) in conf.targets.items():
+        have = [n for n in dict.fromkeys(x.lower() for x in names) if n in group]
+        for other in have[1:]:
+            unite(have[0], other)
+        if have:
+            target[have[0]] = name
+    found = schema_changes(cells, conf).filter("change = 'renamed'").groupBy(F.lower("previous").alias("f"), F.lower("field").alias("g")).count().collect()
+    for r in sorted(found, key=lambda r: (-r["count"], r.f, r.g)):
+        a, b = group[r.f], group[r.g]
+        if a == b or a in target and b in target or files[a] & files[b]:
+            continue
+        unite(*((b, a) if b in target else (a, b)))
+    column, kinds = {}, {n: k for n, (k, _) in conf.targets.items()}
+    taken = {"feed_id", "file_seq", "raw_id", "line_no", "failed_casts", *conf.targets}
+    for a in sorted(members):
+        name = target.get(a)
+        if name is None:
+            name = max(members[a], key=lambda f: (total[f], f))
+            while name in taken:
+                name += "_"
+            taken.add(name)
+            n: dict[str | None, int] = {}
+            for f in members[a]:
+                for k, v in count[f].items():
+                    n[k] = n.get(k, 0) + v
+            whole, real = n.get("integer", 0), n.get("decimal", 0)
+            most = sum(v for k, v in n.items() if k) / 2
+            kinds[name] = "boolean" if n.get("boolean", 0) > most else "string" if whole + real <= most else "double" if real else "long"
+        for f in members[a]:
+            column[f] = name
+    return column, kinds
 
 
 def _plain(raw: Column, kind: Column) -> Column:
@@ -174,16 +232,24 @@ def _plain(raw: Column, kind: Column) -> Column:
 
 
 def consistent_table(cells: DataFrame, conf: DriftConf = DriftConf()) -> DataFrame:
-    """One row per readable line with the typed logical columns and `failed_casts`.
+    """One row per readable line with typed columns for all fields and `failed_casts`.
 
     `failed_casts` maps a column to the raw text that could not be cast. A postal
-    code that lost its leading zero gets it back, a NAF code loses its dots.
+    code that lost its leading zero gets it back, a NAF code loses its dots. Lists and
+    objects under other names than the targets' keep their JSON text.
     """
-    named = cells.withColumn("name", _logical(conf)).filter("name is not null").withColumn("plain", F.trim(_plain(F.col("raw"), F.col("kind"))))
-    wide = named.groupBy("feed_id", "file_seq", "raw_id", "line_no").pivot("name", list(conf.targets)).agg(F.max("plain"))
+    cells = cut(cells)
+    column, kinds = _columns(cells, conf)
+    place = {name: f"c{i}" for i, name in enumerate(kinds)}
+    known = [x for f, name in column.items() for x in (F.lit(f), F.lit(place[name]))]
+    named = cells.withColumn("name", F.create_map(*known)[F.lower("field")] if known else F.lit(None).cast("string"))
+    scalar = F.col("name").isin([place[n] for n in conf.targets])
+    named = named.withColumn("plain", F.trim(F.when(scalar, _plain(F.col("raw"), F.col("kind"))).otherwise(F.col("raw"))))
+    wide = named.groupBy("feed_id", "file_seq", "raw_id", "line_no").pivot("name", list(place.values())).agg(F.max("plain"))
     cast = {}
-    for name, (kind, _) in conf.targets.items():
-        c = F.when(F.trim(name) != "", F.col(name))
+    for name, kind in kinds.items():
+        at = place[name]
+        c = F.when(F.trim(at) != "", F.col(at))
         if name == "code_postal":
             cast[name] = F.when(c.rlike(r"^\d{4,5}$"), F.lpad(c, 5, "0"))
         elif name == "naf":
@@ -193,8 +259,8 @@ def consistent_table(cells: DataFrame, conf: DriftConf = DriftConf()) -> DataFra
         elif kind == "string":
             cast[name] = c
         else:
-            cast[name] = F.expr(f"try_cast({name} as {kind})")
-    failed = F.filter(F.array(*[F.when(F.col(n).isNotNull() & (F.trim(n) != "") & v.isNull(), F.struct(F.lit(n).alias("key"), F.col(n).alias("value"))) for n, v in cast.items()]), lambda x: x.isNotNull())
+            cast[name] = F.expr(f"try_cast({at} as {kind})")
+    failed = F.filter(F.array(*[F.when(F.col(place[n]).isNotNull() & (F.trim(place[n]) != "") & v.isNull(), F.struct(F.lit(n).alias("key"), F.col(place[n]).alias("value"))) for n, v in cast.items()]), lambda x: x.isNotNull())
     return wide.select("feed_id", "file_seq", "raw_id", "line_no", *[v.alias(n) for n, v in cast.items()], F.map_from_entries(failed).alias("failed_casts"))
 
 

@@ -47,3 +47,18 @@ def test_dirty_lines_and_empty(spark):
     assert [(r.field, r.n, r.example) for r in bad] == [("effectif", 1, "beaucoup")]
     assert schema_changes(path_values(df.limit(0))).count() == 0
     assert path_values(df.withColumn("kind", df.file_name).withColumn("raw", df.file_name)).count() == cells.count()
+
+
+def test_table_holds_all_fields_and_lines(spark):
+    one = [company(i, phone=f"+331020304{i:02d}", brevets=i, latitude=48.5 + i, score=7) for i in range(6)]
+    two = [{{"latitude": "wgs_y", "nom": "label"}.get(k, k): v for k, v in r.items()} | {"score": "x"} for r in one]
+    t = consistent_table(path_values(feed(spark, [one, [*two, {}, {"only": "here"}]])))
+    rows = {(r.file_seq, r.line_no): r for r in t.collect()}
+    assert len(rows) == 14 and rows[(2, 8)].only == "here" and rows[(2, 7)].siret is None
+    for seq in (1, 2):
+        r = rows[(seq, 3)]
+        name = r.asDict().get("nom") or r.asDict().get("label")
+        assert (r.telephone, r.brevets, name) == ("+33102030402", 2, "ENTREPRISE NUMERO 2")
+    assert sum(c in t.columns for c in ("nom", "label")) == 1 and dict(t.dtypes)["brevets"] == "bigint"
+    where = [c for c in ("latitude", "wgs_y") if c in t.columns]
+    assert all(sum((rows[(seq, 3)][c] or 0) for c in where) == 50.5 for seq in (1, 2))
