@@ -92,14 +92,17 @@ class ItemIndex:
     def _bounds(words: list[str], conf: LeakConf) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(first gram, past the last, least shared) of every shortest passage of an item.
 
-        A changed word spoils its own letters and Q - 1 around it; a passage at the
-        budget holds a stretch of the shortest length within the rounded-up budget.
+        A changed word spoils its own letters and Q - 1 around it; each passage is charged
+        its longest words. A passage at the budget holds a stretch of the shortest length
+        within the rounded-up budget; an item no longer than that is one passage.
         """
         size = min(conf.words, len(words))
         at = np.cumsum([0] + [len(w) + 1 for w in words])
         first, last = at[: len(words) - size + 1], at[size:]
-        lost = (size // conf.per_change + 1) * (np.mean([len(w) for w in words] or [1]) + Q)
-        return first, np.maximum(last + 1 - Q + 1, first), np.maximum(last + 1 - first - Q + 1 - lost, 4)
+        changes = size // conf.per_change + (len(words) > size)
+        lengths = np.array([[len(w) for w in words[i : i + size]] for i in range(len(first))], np.int64)
+        lost = (np.sort(lengths, axis=1)[:, size - changes :] + Q - 1).sum(axis=1)
+        return first, np.maximum(last + 1 - Q + 1, first), np.maximum(last + 1 - first - Q + 1 - lost, 1)
 
     def reaches(self, k: int, places: np.ndarray) -> bool:
         """Do shared q-grams at these places of item k reach the bound of any passage?"""

@@ -64,6 +64,17 @@ def test_passages():
     assert holds(None) == holds("") == []
 
 
+def test_changed_words_may_be_the_longest():
+    words = [f"{a}{b}" for a in "bcdfghj" for b in ("al", "er", "os")] + ["fin", "sud", "cap"]
+    for k in (8, 12, 16):
+        words[k] = "anticonstitution" + words[k]
+    changed = [("autre" if k in (8, 12, 16) else w) for k, w in enumerate(words)]
+    index = ItemIndex([(1, " ".join(words))])
+    assert leaked("avant tout ceci " + " ".join(changed) + " puis encore cela", index, LeakConf()) == [0]
+    changed[10] = "autre"
+    assert leaked("avant tout ceci " + " ".join(changed) + " puis encore cela", index, LeakConf()) == []
+
+
 def test_alignment_counts_edits():
     a = "a b c d e f".split()
     assert aligned(a, "x a b c d e f y".split()).sum() == 0
