@@ -171,7 +171,7 @@ def links_in(c: Column) -> Column:
 
 
 def mailto_in(c: Column) -> Column:
-    return F.array_distinct(F.transform(F.regexp_extract_all(F.lower(c), F.lit(r"""href=["']mailto:([^"'?]+)"""), F.lit(1)), F.trim))
+    return F.array_distinct(F.transform(F.regexp_extract_all(F.lower(c), F.lit(r"""href=["']mailto:([^"'?]+)"""), F.lit(1)), lambda x: F.trim(x)))
 
 
 def title_of(c: Column) -> Column:

@@ -69,7 +69,7 @@ def first_token(c: Column) -> Column:
 
 def distinct_join(c: Column, most: int = 8) -> Column:
     """Entries of a comma or semicolon list, each once whatever its case, the first `most`."""
-    items = F.filter(F.transform(F.split(c, "[;,]"), F.trim), lambda x: x != "")
+    items = F.filter(F.transform(F.split(c, "[;,]"), lambda x: F.trim(x)), lambda x: x != "")
     kept = F.aggregate(items, F.array().cast("array<string>"), lambda acc, x: F.when(F.exists(acc, lambda y: F.lower(y) == F.lower(x)), acc).otherwise(F.array_append(acc, x)))
     return F.array_join(F.slice(kept, 1, most), ", ")
 

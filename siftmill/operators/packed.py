@@ -33,7 +33,9 @@ def _mask(buf: np.ndarray, chars: bytes) -> np.ndarray:
 
 def _buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string array with nulls as empty strings."""
-    column = pa.array(column.fill_null(""), pa.large_string()) if column.null_count else column.cast(pa.large_string())
+    column = column.cast(pa.large_string())
+    if column.null_count:
+        column = column.fill_null("")
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
     data = column.buffers()[2]
     buf = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
