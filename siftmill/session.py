@@ -26,34 +26,39 @@ def local_session(cores: str = "*", partitions: int = 8, app: str = "siftmill")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; a temporary one only where none is configured."""
+    """The shared checkpoint folder; a temporary one only in local mode without a setting."""
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="siftmill-ck-")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="siftmill-ck-")
     sc.setCheckpointDir(folder)
     return folder
 
 
-_cuts = 0
+def cut(df: DataFrame) -> DataFrame:
+    """Cut the lineage of `df` through a reliable checkpoint (survives lost executors)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage of `df` through a reliable checkpoint (survives lost executors).
+def tasks(spark: SparkSession, rows: int, each: int) -> int:
+    """Tasks for compute-heavy work on so many rows, `each` to a task; all cores get some."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // each))
 
-    Shuffle and checkpoint files of earlier rounds go only when the driver collects its
-    garbage, so iterative operators have it do so now and then.
-    """
-    global _cuts
-    ensure_checkpoint_dir(df.sparkSession)
-    out = df.checkpoint(eager=True)
-    _cuts += 1
-    if _cuts % 3 == 0:
-        df.sparkSession.sparkContext._jvm.System.gc()
-    return out
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a small table over all cores for compute-heavy work.
 
-def width(spark: SparkSession) -> int:
-    """Number of shuffle partitions to spread compute-heavy stages over."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    A table that fills the cores with file splits of its own is read where it lies: its
+    texts are not shuffled. The results do not depend on which way is taken.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    return df if size >= 4 * cores * split else df.repartition(2 * cores, *keys)
