@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,9 +42,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage of `df` through a reliable checkpoint (survives lost executors)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut the lineage of `df`: it is written as a table into the shared folder and read back.
+
+    The table outlives lost executors, and unlike a checkpointed plan it carries no
+    constraints of the plan it came from, which iterative plans would pile up.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def tasks(spark: SparkSession, rows: int, each: int) -> int:
