@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut, width
+from ..session import cut, spread
 
 # Way types and their abbreviations.
 WAYS = {
@@ -110,9 +110,14 @@ class Communes:
             if short != key:
                 self.names.setdefault(short, key)
         self.longest = max((len(k.split()) for k in self.names), default=1)
-        self.by_len: dict[int, list[str]] = {}
+        # Names by what is left when one letter is dropped: any name one typo away shares an entry.
+        self.less: dict[str, list[str]] = {}
         for k in self.names:
-            self.by_len.setdefault(len(k), []).append(k)
+            for x in _dropped(k):
+                self.less.setdefault(x, []).append(k)
+        self.tight: dict[str, str] = {}
+        for k in self.names:
+            self.tight.setdefault(k.replace(" ", ""), k)
         self.memo: dict[str, str] = {}
 
     def match(self, text: str) -> str:
@@ -121,13 +126,18 @@ class Communes:
         if got is None:
             got = self.names.get(text, "")
             if not got and len(text) >= 5:
-                near = [k for n in (-1, 0, 1) for k in self.by_len.get(len(text) + n, ()) if within(text, k)]
-                got = self.names[near[0]] if near else ""
+                near = {k for x in _dropped(text) for k in self.less.get(x, ()) if within(text, k)}
+                got = self.names[min(near, key=lambda k: (len(k), k))] if near else ""
             if len(self.memo) < 200_000:
                 self.memo[text] = got
         return got
 
 
+def _dropped(text: str) -> set[str]:
+    """The text, and the text without any one of its letters."""
+    return {text, *(text[:i] + text[i + 1 :] for i in range(len(text)))}
+
+
 def commune_key(name: str | None) -> str:
     t = re.sub(r"[^A-Z0-9/ ]+", " ", plain(name or ""))
     t = re.sub(r"\bS/ ?", "SUR ", t)
@@ -292,24 +302,30 @@ def same_name(a: str, b: str, typo: bool = True) -> bool:
 @dataclass(frozen=True)
 class AddressConf:
     """window: neighbours compared on each side of a pass. max_communes: bound of the
-    commune dictionary that is sent to every task (a country has below 40,000)."""
+    commune dictionary that is sent to every task (a country has below 40,000). dirty:
+    how many times rarer a commune's misspelling is. rarer: how many times fewer places
+    a name's misspelling has, where the two do not mostly stand side by side."""
 
     window: int = 10
     max_communes: int = 100_000
+    dirty: int = 20
+    rarer: int = 5
     chunk: int = 500
 
 
 def commune_dictionary(df: DataFrame, code: str, commune: str, conf: AddressConf) -> list[tuple[str, str]]:
-    """(postal code, commune) pairs, most frequent first; its size is checked."""
+    """(postal code, commune) pairs, most frequent first; its size is checked.
+
+    A spelling goes where its code has one with `conf.dirty` times as many rows: a
+    ratio, so the answer does not change when the same rows come more often.
+    """
     c = F.regexp_replace(F.col(code), r"\s", "")
-    rows = (
-        df.filter(F.trim(commune) != "")
-        .select(F.when(c.rlike(r"^\d{4,5}$"), F.lpad(c, 5, "0")).alias("c"), F.upper(F.trim(commune)).alias("t"))
-        .groupBy("c", "t").count().orderBy(F.desc("count"), "c", "t").limit(conf.max_communes + 1).collect()
-    )
+    pairs = df.filter(F.trim(commune) != "").select(F.when(c.rlike(r"^\d{4,5}$"), F.lpad(c, 5, "0")).alias("c"), F.upper(F.trim(commune)).alias("t")).groupBy("c", "t").agg(F.count("*").alias("n"))
+    most = pairs.groupBy("c").agg(F.max("n").alias("m"))
+    kept = pairs.join(most, "c", "left").filter(F.col("c").isNull() | (F.col("n") * conf.dirty >= F.col("m"))).select("c", "t", "n")
+    rows = kept.orderBy(F.desc("n"), "c", "t").limit(conf.max_communes + 1).collect()
     if len(rows) > conf.max_communes:
         raise ValueError("more communes than a country has; clean the commune column first")
-    rows = [r for r in rows if r["count"] > 1] or rows
     return [(r["c"], r["t"]) for r in rows]
 
 
@@ -341,9 +357,11 @@ def _tokens(c: Column) -> Column:
 def neighbour_pairs(keys: DataFrame, conf: AddressConf) -> DataFrame:
     """Candidate pairs of distinct component tuples from sorted neighbourhoods.
 
-    Four passes order the tuples by differing component orders. Commune, number and
+    Five passes order the tuples by differing component orders. Commune, number and
     suffix must agree in any match, so every pass sorts within them and a window
-    never spans two house numbers.
+    never spans two house numbers. Where a house number has more tuples than a window
+    holds, those that share a spelling with one letter dropped, or with one word cut to
+    its initial, meet as well, so that no typo is out of reach.
     """
     orders = {
         "forward": ["name", "kind"],
@@ -352,53 +370,82 @@ def neighbour_pairs(keys: DataFrame, conf: AddressConf) -> DataFrame:
         "last": [F.element_at(F.split("name", " "), -1), "name", "kind"],
         "way": ["kind", F.reverse("name")],
     }
+    at = ["commune", "number", "suffix"]
     me = F.struct("kind", "name", "n")
     out = None
     for order in orders.values():
-        w = Window.partitionBy("commune", "number", "suffix").orderBy(*order, "kind", "name").rowsBetween(-conf.window, -1)
-        pairs = keys.select("commune", "number", "suffix", me.alias("a"), F.collect_list(me).over(w).alias("near")).select("commune", "number", "suffix", "a", F.explode("near").alias("b"))
+        w = Window.partitionBy(*at).orderBy(*order, "kind", "name").rowsBetween(-conf.window, -1)
+        pairs = keys.select(*at, me.alias("a"), F.collect_list(me).over(w).alias("near")).select(*at, "a", F.explode("near").alias("b"))
         out = pairs if out is None else out.unionByName(pairs)
+    crowded = keys.groupBy(*at).agg(F.count("*").alias("_n")).filter(F.col("_n") > conf.window + 1).drop("_n")
+    spelt = keys.join(crowded, at, "left_semi").select(*at, me.alias("a"), F.explode(F.array_distinct(F.concat(_shortened("name"), _shortened(_tokens(F.col("name"))), _initialled("name")))).alias("v"))
+    out = out.unionByName(spelt.join(spelt.withColumnRenamed("a", "b"), [*at, "v"]).filter(F.col("a") < F.col("b")).select(*at, "a", "b"))
     a, b = F.col("a.name"), F.col("b.name")
     ok = (F.col("a.kind") == F.col("b.kind")) | (F.col("a.kind") == "") | (F.col("b.kind") == "")
     near = (F.levenshtein(a, b, 2) >= 0) | (F.levenshtein(_tokens(a), _tokens(b), 2) >= 0) | F.concat_ws(" ", a, b).rlike(r"(^| )[A-Z]( |$)")
     ordered = F.col("a") < F.col("b")
-    return (
-        out.filter(ok & near)
-        .select("commune", "number", "suffix", F.when(ordered, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(ordered, F.col("b")).otherwise(F.col("a")).alias("b"))
-        .distinct()
-    )
+    return out.filter(ok & near).select(*at, F.when(ordered, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(ordered, F.col("b")).otherwise(F.col("a")).alias("b")).distinct()
+
+
+def _shortened(c) -> Column:
+    """A text and the texts with one of its letters dropped."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.concat(F.array(c), F.transform(F.sequence(F.lit(1), F.greatest(F.length(c), F.lit(1))), lambda i: F.concat(F.substr(c, F.lit(1), i - 1), F.substr(c, i + 1))))
+
+
+def _initialled(name: str) -> Column:
+    """The texts in which one word is cut to its first letter."""
+    words = F.split(name, " ")
+    return F.transform(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.array_join(F.transform(words, lambda w, k: F.when(k == i, F.substr(w, F.lit(1), F.lit(1))).otherwise(w)), " "))
 
 
 def same_locations(parsed: DataFrame, conf: AddressConf = AddressConf()) -> DataFrame:
     """(id, location): one row per parsed address with the class it belongs to.
 
     Exact copies share a tuple and are never compared. A tuple with a typo joins the
-    best supported neighbour; a tuple without a way type joins the one that has it.
+    best supported neighbour; a tuple without a way type joins the one that has it. A
+    name's support is the number of its places (commune, number, suffix), not of its
+    rows. Two names one typo apart are one if the rarer has `conf.rarer` times fewer
+    places, or if at half of its places at least the other stands beside it; copies of
+    rows change neither.
     """
     at = ["commune", "number", "suffix"]
-    keys = parsed.groupBy(*at, "kind", "name").agg(F.count("*").alias("rows"))
-    popular = keys.groupBy("name").agg(F.sum("rows").alias("n"))
+    keys = parsed.select(*at, "kind", "name").distinct()
+    popular = keys.select(*at, "name").distinct().groupBy("name").agg(F.count("*").alias("n"))
     keys = cut(keys.join(popular, "name"))
 
-    @F.pandas_udf("boolean")
-    def alike(a: pd.Series, b: pd.Series, typo: pd.Series) -> pd.Series:
-        return pd.Series([same_name(x, y, t) for x, y, t in zip(a, b, typo)], dtype=bool)
+    @F.pandas_udf("int")
+    def alike(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([2 if same_name(x, y, False) else 1 if same_name(x, y) else 0 for x, y in zip(a, b)], dtype="int32")
 
+    pairs = cut(neighbour_pairs(keys, conf).withColumn("like", alike(F.col("a.name"), F.col("b.name"))).filter("like > 0"))
     few, many = F.least("a.n", "b.n"), F.greatest("a.n", "b.n")
-    pairs = neighbour_pairs(keys, conf)
-    pairs = pairs.filter(alike(F.col("a.name"), F.col("b.name"), (few <= 3) | (few * 5 <= many)))
-    both = pairs.select(*at, "a", "b").unionByName(pairs.select(*at, F.col("b").alias("a"), F.col("a").alias("b")))
+    lo, hi = F.least("a.name", "b.name").alias("lo"), F.greatest("a.name", "b.name").alias("hi")
+    beside = pairs.filter("like = 1").select(*at, lo, hi).distinct().groupBy("lo", "hi").agg(F.count("*").alias("together"))
+    typos = pairs.filter("like = 1").withColumns({"lo": lo, "hi": hi}).join(beside, ["lo", "hi"]).filter((few * conf.rarer <= many) | (2 * F.col("together") >= few))
+    pairs = pairs.filter("like = 2").select(*at, "a", "b").unionByName(typos.select(*at, "a", "b"))
+    both = pairs.unionByName(pairs.select(*at, F.col("b").alias("a"), F.col("a").alias("b")))
     rank = lambda p: F.struct(F.col(f"{p}.kind") != "", F.col(f"{p}.n"), F.col(f"{p}.kind"), F.col(f"{p}.name"))
     best = both.groupBy(*at, "a").agg(F.max(F.struct(rank("b").alias("r"), F.col("b"))).alias("m"))
     best = best.filter(F.col("m.r") > rank("a")).select(*at, F.col("a.kind").alias("kind"), F.col("a.name").alias("name"), F.col("m.b.kind").alias("k1"), F.col("m.b.name").alias("n1"))
     best = cut(best)
-    for _ in range(2):  # ranks rise along a chain, so pointers are followed upwards
+    while True:  # ranks rise along a chain: pointers are followed upwards until none moves
         up = best.select(*at, F.col("kind").alias("k1"), F.col("name").alias("n1"), F.col("k1").alias("k2"), F.col("n1").alias("n2"))
-        best = best.join(up, [*at, "k1", "n1"], "left").select(*at, "kind", "name", F.coalesce("k2", "k1").alias("k1"), F.coalesce("n2", "n1").alias("n1"))
+        moved = cut(best.join(up, [*at, "k1", "n1"], "left").select(*at, "kind", "name", F.coalesce("k2", "k1").alias("k1"), F.coalesce("n2", "n1").alias("n1"), F.col("n2").isNotNull().alias("moved")))
+        best = moved.drop("moved")
+        if moved.filter("moved").isEmpty():
+            break
     located = parsed.join(best, [*at, "kind", "name"], "left")
     return located.select("id", F.concat_ws("|", *at, F.coalesce("k1", "kind"), F.coalesce("n1", "name")).alias("location"))
 
 
+def address_classes(records: DataFrame, towns: list[tuple[str, str]], conf: AddressConf = AddressConf()) -> DataFrame:
+    """(id, location, links): one row per address record with its class and the number of its other members."""
+    located = cut(same_locations(cut(parse_addresses(spread(records, "id"), towns)), conf))
+    sizes = located.groupBy("location").agg((F.count("*") - 1).alias("links"))
+    return located.join(sizes, "location").select("id", "location", "links")
+
+
 def pairs_within(members: DataFrame, group: str, left: str, right: str, chunk: int = 500, keep: Column | None = None) -> DataFrame:
     """All pairs left < right of ids within a group; large groups are salted in chunks."""
     sized = members.join(members.groupBy(group).agg(F.count("*").alias("_n")).filter("_n > 1"), group)
@@ -428,6 +475,5 @@ def same_address(records: DataFrame, towns: list[tuple[str, str]], conf: Address
     An empty table gives no pair; repeated rows pair with each other; ties between
     equally supported spellings go to the greater spelling; extra columns are ignored.
     """
-    spread = records.repartition(width(records.sparkSession), "id")
-    parsed = cut(parse_addresses(spread, towns))
+    parsed = cut(parse_addresses(spread(records, "id"), towns))
     return pairs_within(same_locations(parsed, conf), "location", "addr_a", "addr_b", conf.chunk)

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import width
+from ..session import spread
 
 Q = 8  # letters of a q-gram: one machine word holds it exactly
 
@@ -241,7 +241,7 @@ def find_leaks(documents: DataFrame, items: DataFrame, conf: LeakConf = LeakConf
     spark = documents.sparkSession
     total = rows.count()
     out = None
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("length(text) > 0").repartition(width(spark), "doc_id")
+    docs = spread(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("length(text) > 0"), "doc_id")
     for start in range(0, max(total, 1), conf.block):
         block = [(r[0], r[1]) for r in rows.offset(start).limit(conf.block).collect()]
 

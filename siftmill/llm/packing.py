@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut, width
+from ..session import cut, spread
 
 
 @dataclass(frozen=True)
@@ -106,7 +106,7 @@ def pieces(documents: DataFrame, conf: PackConf) -> DataFrame:
             yield pd.DataFrame({"doc_id": b["doc_id"].repeat([len(p) for p in parts]).to_numpy(), "piece_no": [i for p in parts for i in range(1, len(p) + 1)], "tokens": [x for p in parts for x in p]})
 
     docs = documents.filter("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return docs.repartition(width(documents.sparkSession), "doc_id").mapInPandas(run, "doc_id long, piece_no int, tokens int")
+    return spread(docs, "doc_id").mapInPandas(run, "doc_id long, piece_no int, tokens int")
 
 
 def pack(documents: DataFrame, conf: PackConf = PackConf()) -> DataFrame:

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import width
+from ..session import spread
 
 # Terms that name groups of people; swapped with each other in training.
 IDENTITY = (
@@ -312,7 +312,7 @@ def score_documents(documents: DataFrame, model: Model) -> DataFrame:
             yield pd.DataFrame({"doc_id": b["doc_id"], "source": b["source"], "score": [mine.score(t) for t in b["text"]]})
 
     cols = [F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text")]
-    return documents.select(*cols).repartition(width(spark), "doc_id").mapInPandas(run, "doc_id long, source string, score double")
+    return spread(documents.select(*cols), "doc_id").mapInPandas(run, "doc_id long, source string, score double")
 
 
 def rates_by_source(scores: DataFrame, conf: ToxicConf = ToxicConf()) -> DataFrame:

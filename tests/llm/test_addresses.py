@@ -1,6 +1,6 @@
 import pytest
 
-from siftmill.llm.addresses import Communes, address_records, commune_dictionary, pairs_within, parse, same_address, same_name, within, AddressConf
+from siftmill.llm.addresses import Communes, address_classes, address_records, commune_dictionary, pairs_within, parse, same_address, same_name, within, AddressConf
 
 TOWNS = [("01527", "AUBTERAC"), ("42936", "BELOURREUIL-SUR-OURNE"), ("70183", "LA FONIGNIRIC")]
 
@@ -64,3 +64,20 @@ def test_record_ids(spark):
     m = spark.createDataFrame([(2, "b")], "maps_id long, address_complete string")
     p = spark.createDataFrame([(3, ["c", None]), (4, None)], "extraction_id long, addresses array<string>")
     assert sorted(r.id for r in address_records(s, m, p).collect()) == ["maps_scraper:2:1", "page_extraction:3:1", "page_extraction:3:2", "standardize:1:1"]
+
+
+def test_copies_change_no_class(spark):
+    """Two spellings, few and many rows: every row ten times gives the same classes."""
+    rows = [(f"a{i}", "3 rue du Puitz") for i in range(2)] + [(f"b{i}", "3 rue du Puits") for i in range(6)] + [("c", "5 rue du Puits"), ("d", "9 rue des Lilas"), ("e", "9 rue des Lilac")]
+    groups = lambda rows: {frozenset(i.split("-")[0] for i, k in got.items() if k == c) for got in [{r.id: r.location for r in address_classes(records(spark, rows), TOWNS).collect()}] for c in got.values()}
+    few = groups(rows)
+    assert few == {frozenset([*(f"a{i}" for i in range(2)), *(f"b{i}" for i in range(6))]), frozenset("c"), frozenset("de")}
+    assert groups([(f"{i}-{k}", t) for i, t in rows for k in range(10)]) == few
+
+
+def test_crowded_house_number(spark):
+    """More misspellings at one number than a window holds all reach the right one."""
+    name = "MOULINVERTUEUX"
+    typos = [f"4 rue {name[:i]}{c}{name[i + 1:]}" for i in range(1, len(name)) for c in "QZ"]
+    got = {r.id: r.location for r in address_classes(records(spark, [(f"t{i}", t) for i, t in enumerate(typos)] + [(f"r{i}", f"{n} rue {name}") for i, n in enumerate([4, 4, 6, 8, 10, 12, 14])]), TOWNS).collect()}
+    assert len(typos) > 20 and {got[f"t{i}"] for i in range(len(typos))} == {got["r0"]}
