@@ -1,11 +1,14 @@
 """Main body of a page without its furniture.
 
-Method: composite text density. Extracted text keeps no markup, so a tree is
-rebuilt first: every (unwrapped) line is a leaf, runs of leaves of one role are
-block nodes under the page node. A leaf's density is its characters less those of
-links, per tag; a block sums the densities of its children; the run of blocks with
-the greatest sum of densities over the body threshold is the main subtree, and
-furniture leaves inside it are dropped.
+Method: composite text density. For HTML the tree is the page's own DOM
+(`dom.html_body`): every node has its link-adjusted characters per tag, the densities of
+the children are summed, the node of the greatest sum is the main subtree, and its
+parts below the least density on the path to it are dropped. Extracted text keeps no
+markup, so a tree is rebuilt first: every (unwrapped) line is a leaf of the page, and
+the share of links in a leaf is read from its form (separated items, short lines that
+head no text, lines cut off) and from known words of furniture. The run of leaves with
+the greatest sum of densities over the body threshold is the main subtree; what lies
+outside it, and link leaves inside, are dropped.
 """
 
 from __future__ import annotations
@@ -56,10 +59,14 @@ _WAY = re.compile(r"\b(?:rue|r\.?|avenue|av\.?|ave|boulevard|boul\.?|bd|bvd|bld|
 
 @dataclass(frozen=True)
 class DensityConf:
-    """threshold: density a block must reach to extend the body; items: most lines of a teaser."""
+    """threshold: characters per leaf from which a leaf speaks for the body; known: what a leaf
+    costs that is known as furniture by its words and so is cut out anyway; items: most
+    lines of a teaser; words: use the known words of furniture as evidence of links."""
 
-    threshold: float = 8.0
+    threshold: float = 40.0
+    known: float = 4.0
     items: int = 4
+    words: bool = True
 
 
 def _unwrap(lines: list[tuple[int, str]]) -> list[tuple[list[int], str]]:
@@ -161,7 +168,7 @@ def body_lines(text: str | None, conf: DensityConf = DensityConf()) -> list[int]
     texts = [t for _, t in logical]
     low = [t.lower() for t in texts]
     n = len(texts)
-    role = roles(texts, conf)
+    role = roles(texts, conf) if conf.words else ["text"] * n
 
     # Company name: from the copyright, the description or the consent line.
     site = set()
@@ -211,31 +218,69 @@ def body_lines(text: str | None, conf: DensityConf = DensityConf()) -> list[int]
         if role[i] == "text" and i != legal and low[i] in ("mentions légales", "legal notice") and i > head + 1:
             role[i] = "foot"
 
-    # Composite density of the blocks and the best run of blocks.
-    blocks: list[list] = []
-    for i in range(n):
-        kind = "text" if role[i] == "text" else "link"
-        links = len(texts[i]) if kind == "link" else 0
-        density = (len(texts[i]) - links) / (1 + 2 * (links > 0))
-        if blocks and blocks[-1][0] == kind:
-            blocks[-1][1] += density
-            blocks[-1][2].append(i)
-        else:
-            blocks.append([kind, density, [i]])
+    # Composite density of the leaves, and the run of leaves whose sum over the threshold is greatest.
+    share = link_shares(texts, role)
+    gain = densities(texts, role, share, conf)
     best, start, total, span = 0.0, 0, 0.0, None
-    for k, (kind, density, members) in enumerate(blocks):
-        gain = density if kind == "text" else -conf.threshold / 4 * len(members)
+    for i in range(n):
         if total <= 0:
-            total, start = 0.0, k
-        total += gain
-        if kind == "text" and total > best:
-            best, span = total, (start, k)
+            total, start = 0.0, i
+        total += gain[i]
+        if total > best:
+            best, span = total, (start, i + 1)
     if span is None:
         return []
-    keep = [i for kind, _, members in blocks[span[0] : span[1] + 1] if kind == "text" for i in members]
+    keep = [i for i in range(*span) if share[i] < 1]
     return sorted(k for i in keep for k in logical[i][0])
 
 
+_BULLET = re.compile(r"^(?:[-•*–·▪◦✓]|\d{1,2}[.)])\s*\S")
+_FACT = re.compile(r"^(?:par|by|von|por|publié|published)\b.{3,}|\d{1,2}[/. ](?:\d{1,2}|[a-zà-ÿ]{3,9})[/. ]\d{4}|\d+(?:[.,]\d+)? ?(?:€|eur\b|\$|£|%)|@|\b\d{5}\b", re.I)
+_ENDS = re.compile(r"[.!?:;…»\")]\s*$")
+
+
+def link_shares(texts: list[str], role: list[str]) -> list[float]:
+    """Share of links in every leaf, from its role and its form.
+
+    Furniture is all link. So are several short items between separators, lines that end
+    cut off, and short lines without the end of a sentence that stand among their like;
+    a short line right above text is its heading, and lists, prices, dates and contact
+    lines are text.
+    """
+    n = len(texts)
+    solid = [bool(_BULLET.match(t) or _ENDS.search(t) or _FACT.search(t) or _PHONE.match(t) or _CONTACT.match(t.lower()) or _address(t)) or len(t) > 60 for t in texts]
+    share = [0.0 if r == "text" else 1.0 for r in role]
+    for i in range(n):
+        if share[i] or _BULLET.match(texts[i]):
+            continue
+        items = [x for x in _ITEM.split(texts[i]) if x]
+        if len(items) > 2 and not _ENDS.search(texts[i]) and sum(len(x) for x in items) < 25 * len(items) and not _FACT.search(texts[i]):
+            share[i] = 1.0
+        elif not solid[i]:
+            below = [j for j in range(i + 1, min(n, i + 12)) if role[j] == "text"][:2]
+            heads = bool(below) and (solid[below[0]] or len(below) > 1 and solid[below[1]])
+            share[i] = 0.0 if heads else 0.5
+    return share
+
+
+def densities(texts: list[str], role: list[str], share: list[float], conf: DensityConf) -> list[float]:
+    """Link-adjusted characters of every leaf over the threshold. Headings, lists, prices,
+    questions and contact lines are short by nature and never speak against the body."""
+    out = []
+    for t, r, s in zip(texts, role, share):
+        d = len(t) * (1 - s) - conf.threshold
+        if r != "text":
+            d = -conf.known
+        elif s:
+            d = -conf.threshold
+        elif t.rstrip().endswith("?") or _BULLET.match(t) or _FACT.search(t) or _PHONE.match(t) or _CONTACT.match(t.lower()) or _address(t):
+            d = max(d, 8.0)
+        elif not _SENTENCE.search(t):
+            d = max(d, 0.1)
+        out.append(d)
+    return out
+
+
 def _contact_block(texts, low, role, site, head, end):
     """Phones and addresses that follow a company name or a mail line are body."""
     n = len(texts)
