@@ -131,56 +131,38 @@ class ItemIndex:
         return self.owner[flat], self.place[flat], np.repeat(at, n)
 
 
-def aligned(item: list[str], doc: list[str]) -> np.ndarray:
-    """Errors charged to each item word by the best alignment inside a band of words.
+def holds_passage(item: list[str], doc: list[str], conf: LeakConf) -> bool:
+    """Does the text hold a passage of the item within the edit budget? Exact, by alignment.
 
-    The document side is free at both ends. An inserted word is charged to the item
-    word after it.
+    reach[e] is the number of item words of the longest aligned stretch that ends at a
+    pair of places with e errors (changed, missing or added words). A passage of any
+    length that keeps the budget holds one of less than twice the shortest length that
+    keeps it too, so few errors need to be followed.
     """
-    n, m = len(item), len(doc)
-    big = 10**6
-    cost = np.zeros(m + 1, np.int64)
-    back = np.zeros((n + 1, m + 1), np.int8)
-    d = np.array(doc, dtype=object)
-    for i in range(1, n + 1):
-        diag = cost[:-1] + 2 * (d != item[i - 1])
-        up = cost + 2
-        row = np.concatenate([[up[0]], np.minimum(diag, up[1:])])
-        move = np.concatenate([[1], np.where(diag <= up[1:], 0, 1)]).astype(np.int8)
-        # insertions run to the right: prefix minimum of row - 2 j
-        run = np.minimum.accumulate(row - 2 * np.arange(m + 1)) + 2 * np.arange(m + 1)
-        move[run < row] = 2
-        cost, back[i] = np.minimum(run, big), move
-    errors = np.zeros(n + 1, np.int64)
-    i, j = n, int(np.argmin(cost))
-    while i > 0:
-        step = back[i, j]
-        if step == 2:
-            errors[min(i, n - 1) if i < n else i - 1] += 1
-            j -= 1
-        elif step == 1:
-            errors[i - 1] += 1
-            i -= 1
-        else:
-            errors[i - 1] += int(doc[j - 1] != item[i - 1])
-            i -= 1
-            j -= 1
-    return errors[:n]
-
-
-def longest_passage(errors: np.ndarray, conf: LeakConf) -> int:
-    """Words of the longest run with at most one error in `per_change` words."""
-    n = len(errors)
-    g = np.concatenate([[0], np.cumsum(errors)]) * conf.per_change - np.arange(n + 1)
-    # run (i, j] is good if g[j] <= g[i]; the greatest g so far over i
-    best = 0
-    top = np.maximum.accumulate(g)
-    for j in range(n, 0, -1):
-        if j <= best:
-            break
-        i = int(np.searchsorted(top, g[j]))  # first i whose running maximum reaches g[j]
-        best = max(best, j - i) if i < j else best
-    return best
+    least = min(conf.words, len(item))
+    if not least:
+        return False
+    most = (2 * least - 1) // conf.per_change
+    m = len(doc)
+    code = {w: k for k, w in enumerate(dict.fromkeys(item))}
+    d = np.array([code.get(w, -1) for w in doc], np.int32)
+    need = np.maximum(least, conf.per_change * np.arange(most + 1))
+    none = -(10**6)
+    reach = np.zeros((most + 1, m + 1), np.int32)
+    reach[1:] = none
+    for w in item:
+        same = d == code[w]
+        new = np.full((most + 1, m + 1), none, np.int32)
+        new[0, 0] = 0
+        new[0, 1:] = np.where(same, reach[0, :-1] + 1, 0)
+        for e in range(1, most + 1):
+            new[e, 1:] = np.where(same, reach[e, :-1], reach[e - 1, :-1]) + 1
+            np.maximum(new[e], reach[e - 1] + 1, out=new[e])
+            np.maximum(new[e, 1:], new[e - 1, :-1], out=new[e, 1:])
+        if (new.max(axis=1) >= need).any():
+            return True
+        reach = new
+    return False
 
 
 def leaked(text: str | None, index: ItemIndex, conf: LeakConf) -> list[int]:
@@ -217,9 +199,7 @@ def leaked(text: str | None, index: ItemIndex, conf: LeakConf) -> list[int]:
                 if (i, j) in seen:
                     continue
                 seen.add((i, j))
-                errors = aligned(item, words[i:j])
-                least = min(conf.words, len(item))
-                if longest_passage(errors, conf) >= least:
+                if holds_passage(item, words[i:j], conf):
                     hit = True
                     break
             if hit:
