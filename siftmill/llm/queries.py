@@ -56,8 +56,7 @@ def p4_found(spark: SparkSession, base: str) -> DataFrame:
 def _toxic_scores(spark: SparkSession, base: str, conf: toxicity.ToxicConf) -> DataFrame:
     documents = table(spark, base, "documents")
     sample = toxicity.labelled(documents, table(spark, base, "doc_labels"), conf)
-    model = toxicity.fit([t for _, t, _ in sample], [y for _, _, y in sample], conf)
-    return toxicity.score_documents(documents, model)
+    return toxicity.score_documents(documents, toxicity.fit_once(sample, conf))
 
 
 def p10_found(spark: SparkSession, base: str) -> DataFrame:

@@ -8,6 +8,7 @@ the score are penalised, so that naming a group does not raise it.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import unicodedata
 import zlib
@@ -37,7 +38,7 @@ _SPLIT = re.compile(r"(?<=[.!?…])[\"»)]*\s+|\n+")
 class ToxicConf:
     """positives, negatives: bound of the labelled documents that the fit may take (the
     rest of the labels is left for measuring). buckets: hashed features. swap: weight of
-    the counterfactual penalty. review: score from which a document goes to review."""
+    the counterfactual penalty. swaps: terms swapped in for each sentence. review: score from which a document goes to review."""
 
     positives: int = 3000
     negatives: int = 8000
@@ -46,7 +47,8 @@ class ToxicConf:
     rounds: int = 2
     l2: float = 0.1
     support: int = 5
-    swap: float = 0.5
+    swap: float = 1.0
+    swaps: int = 4
     span: int = 24
     review: float = 0.65
 
@@ -152,58 +154,87 @@ class Model:
 
 
 class _Rows:
-    """Token lists as one sparse matrix with rows scaled by the root of their features."""
+    """Feature lists as one sparse matrix over the features that occur, rows scaled by the root of their size."""
 
-    def __init__(self, lists: list[np.ndarray]):
-        self.n = len(lists)
+    def __init__(self, lists: list[np.ndarray], active: np.ndarray):
+        self.n, self.d = len(lists), len(active)
         size = np.array([len(x) for x in lists], np.int64)
-        self.cols = np.concatenate(lists) if lists else np.zeros(0, np.int64)
-        self.rows = np.repeat(np.arange(self.n), size)
-        self.vals = np.repeat(1 / np.sqrt(np.maximum(size, 1)), size)
+        self.filled = np.flatnonzero(size)
+        self.starts = np.concatenate([[0], np.cumsum(size)[:-1]])[self.filled] if self.n else size
+        self.cols = np.searchsorted(active, np.concatenate(lists)) if self.n else np.zeros(0, np.int64)
+        self.scale = 1 / np.sqrt(np.maximum(size, 1))
+        order = np.argsort(self.cols, kind="stable")
+        self.rows = np.repeat(np.arange(self.n), size)[order]
+        self.used, self.heads = np.unique(self.cols[order], return_index=True)
 
     def dot(self, w: np.ndarray) -> np.ndarray:
-        return np.bincount(self.rows, weights=w[self.cols] * self.vals, minlength=self.n)
+        out = np.zeros(self.n)
+        if len(self.filled):
+            out[self.filled] = np.add.reduceat(w[self.cols], self.starts)
+        return out * self.scale
+
+    def back(self, g: np.ndarray) -> np.ndarray:
+        out = np.zeros(self.d)
+        if len(self.used):
+            out[self.used] = np.add.reduceat((g * self.scale)[self.rows], self.heads)
+        return out
 
-    def back(self, g: np.ndarray, d: int) -> np.ndarray:
-        return np.bincount(self.cols, weights=g[self.rows] * self.vals, minlength=d)
 
+def _swaps(sentences: list[list[str]], feats: Features, most: int) -> tuple[list[int], list[np.ndarray]]:
+    """For sentences with identity terms: (index, features with the terms swapped).
 
-def _swaps(sentences: list[list[str]], feats: Features, seed: int = 7) -> tuple[list[int], list[np.ndarray]]:
-    """For sentences with identity terms: (index, features with the terms swapped)."""
-    rng = np.random.default_rng(seed)
+    The terms swapped in are the commonest of the training sentences, so that the
+    penalty reaches the words that the labels may have coloured.
+    """
     terms = set(IDENTITY)
+    seen: dict[str, int] = {}
+    for s in sentences:
+        for t in set(s) & terms:
+            seen[t] = seen.get(t, 0) + 1
+    common = sorted(seen, key=lambda t: (-seen[t], t))
+    common += [t for t in IDENTITY if t not in seen]
     at, out = [], []
     for i, s in enumerate(sentences):
-        if any(t in terms for t in s):
-            for other in rng.choice(IDENTITY, 3, replace=False):
+        mine = set(s) & terms
+        if mine:
+            for other in [t for t in common if t not in mine][:most]:
                 at.append(i)
-                out.append(feats.of([str(other) if t in terms else t for t in s]))
+                out.append(feats.of([other if t in mine else t for t in s]))
     return at, out
 
 
-def _logistic(x: _Rows, y: np.ndarray, weight: np.ndarray, pairs: tuple[np.ndarray, _Rows] | None, w: np.ndarray, b: float, conf: ToxicConf) -> tuple[np.ndarray, float]:
-    """Weighted logistic regression with the counterfactual penalty, by Adam over all rows."""
-    d, m1, m2, c1, c2 = conf.buckets, 0.0, 0.0, 0.0, 0.0
-    w = w.copy()
+def _logistic(lists: list[np.ndarray], y: np.ndarray, weight: np.ndarray, at: np.ndarray, other: list[np.ndarray], conf: ToxicConf) -> tuple[np.ndarray, float]:
+    """Weighted logistic regression with the counterfactual penalty, by Adam over all rows.
+
+    at, other: rows and their features with the identity terms swapped; the squared
+    change of a row's logit is charged, the mean over its swaps.
+    """
     total = weight.sum()
+    full = np.zeros(conf.buckets)
     if not total:
-        return w, -30.0  # nothing to learn from: nothing is toxic
+        return full, -30.0  # nothing to learn from: nothing is toxic
+    active = np.unique(np.concatenate([*lists, *other]))
+    x, pairs = _Rows(lists, active), _Rows(other, active)
+    w, b, m1, m2, c1, c2 = np.zeros(len(active)), 0.0, 0.0, 0.0, 0.0, 0.0
+    share = weight[at] / np.bincount(at, minlength=len(lists))[at] if pairs.n else weight[:0]
     for t in range(1, conf.steps + 1):
-        p = 1 / (1 + np.exp(-np.clip(x.dot(w) + b, -30, 30)))
+        logit = x.dot(w)
+        p = 1 / (1 + np.exp(-np.clip(logit + b, -30, 30)))
         g = weight * (p - y) / total
-        gw = x.back(g, d) + conf.l2 * w / total
-        if pairs is not None and pairs[1].n:
-            base = x.dot(w)[pairs[0]]
-            delta = base - pairs[1].dot(w)
-            h = 2 * conf.swap * delta * weight[pairs[0]] / total
-            gw += x.back(np.bincount(pairs[0], weights=h, minlength=x.n), d) - pairs[1].back(h, d)
         gb = g.sum()
+        gw = conf.l2 * w / total
+        if pairs.n and conf.swap:
+            h = 2 * conf.swap * (logit[at] - pairs.dot(w)) * share / total
+            g = g + np.bincount(at, weights=h, minlength=x.n)
+            gw -= pairs.back(h)
+        gw += x.back(g)
         m1, m2 = 0.9 * m1 + 0.1 * gw, 0.999 * m2 + 0.001 * gw * gw
         c1, c2 = 0.9 * c1 + 0.1 * gb, 0.999 * c2 + 0.001 * gb * gb
         step = 0.3 * min(1.0, 3 * (1 - t / (conf.steps + 1)))
         w -= step * (m1 / (1 - 0.9**t)) / (np.sqrt(m2 / (1 - 0.999**t)) + 1e-7)
         b -= step * (c1 / (1 - 0.9**t)) / (np.sqrt(c2 / (1 - 0.999**t)) + 1e-7)
-    return w, b
+    full[active] = w
+    return full, b
 
 
 def fit(texts: list[str], labels: list[int], conf: ToxicConf = ToxicConf()) -> Model:
@@ -228,11 +259,11 @@ def fit(texts: list[str], labels: list[int], conf: ToxicConf = ToxicConf()) -> M
         for t in set(k.split()):
             if "*" not in t and len(t) > 2:
                 vocabulary[t] = vocabulary.get(t, 0) + pos - neg
-    words = [t for t, v in sorted(vocabulary.items(), key=lambda x: (-x[1], x[0])) if v > 0][:20_000]
+    words = [t for t, v in sorted(vocabulary.items(), key=lambda x: (-x[1], x[0])) if v > 0]
     model = Model(conf, np.zeros(conf.buckets), 0.0, words)
     sentences = [model.restore(k.split()) for k in order]
     lists = [feats.of(s) for s in sentences]
-    at, other = _swaps(sentences, feats)
+    at, other = _swaps(sentences, feats, conf.swaps)
     bags = [np.array([order[k] for k in mine], np.int64) for mine in keys]
     # Features seen in few documents (names, above all) are left out.
     support = np.zeros(conf.buckets, np.int32)
@@ -262,12 +293,12 @@ def fit(texts: list[str], labels: list[int], conf: ToxicConf = ToxicConf()) -> M
         back = np.full(len(sentences), -1)
         back[use] = np.arange(len(use))
         mine = [j for j, i in enumerate(at) if back[i] >= 0]
-        pairs = (back[[at[j] for j in mine]], _Rows([other[j] for j in mine])) if mine else None
         total = pos + neg
         y = np.where(toxic, pos, 0) / np.maximum(total, 1)
-        return _logistic(_Rows([lists[i] for i in use]), y[use], total[use], pairs, np.zeros(conf.buckets), 0.0, conf)
+        return _logistic([lists[i] for i in use], y[use], total[use], back[[at[j] for j in mine]].astype(np.int64), [other[j] for j in mine], conf)
 
-    x = _Rows(lists)
+    active = np.unique(np.concatenate([*lists, np.zeros(0, np.int64)])).astype(np.int64)
+    x = _Rows(lists, active)
     folds = np.arange(len(labels)) % 2
     for k in range(conf.rounds):
         # Each half judges the sentences of the other, so that no sentence vouches for itself.
@@ -275,7 +306,7 @@ def fit(texts: list[str], labels: list[int], conf: ToxicConf = ToxicConf()) -> M
         seen = np.zeros(len(sentences))
         for f in (0, 1):
             w, b = one(np.flatnonzero(folds != f))
-            z = 1 / (1 + np.exp(-np.clip(x.dot(w) + b, -30, 30)))
+            z = 1 / (1 + np.exp(-np.clip(x.dot(w[active]) + b, -30, 30)))
             here = np.unique(np.concatenate([bags[d] for d in np.flatnonzero(folds == f)] or [np.zeros(0, np.int64)])).astype(np.int64)
             p[here] += z[here]
             seen[here] += 1
@@ -287,6 +318,18 @@ def fit(texts: list[str], labels: list[int], conf: ToxicConf = ToxicConf()) -> M
     return Model(conf, w, b, words)
 
 
+_fitted: dict[str, Model] = {}
+
+
+def fit_once(sample: list[tuple[int, str, int]], conf: ToxicConf = ToxicConf()) -> Model:
+    """The model of a sample; the same sample is fitted once in a driver's life."""
+    key = hashlib.sha256(repr((conf, sorted((i, y, zlib.crc32(t.encode())) for i, t, y in sample))).encode()).hexdigest()
+    if key not in _fitted:
+        _fitted.clear()
+        _fitted[key] = fit([t for _, t, _ in sample], [y for _, _, y in sample], conf)
+    return _fitted[key]
+
+
 def labelled(documents: DataFrame, labels: DataFrame, conf: ToxicConf = ToxicConf()) -> list[tuple[int, str, int]]:
     """Bounded sample of labelled documents: (doc_id, text, label).
 

@@ -5,7 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from siftmill.llm.leakage import ItemIndex, LeakConf, aligned, find_leaks, leaked, longest_passage
+from siftmill.llm.leakage import ItemIndex, LeakConf, find_leaks, holds_passage, leaked
 from siftmill.llm.packing import PackConf, first_fit_decreasing, pack
 from siftmill.llm.toxicity import ToxicConf, fit, labelled, rates_by_source, score_documents, tokens
 
@@ -75,22 +75,25 @@ def test_changed_words_may_be_the_longest():
     assert leaked("avant tout ceci " + " ".join(changed) + " puis encore cela", index, LeakConf()) == []
 
 
-def test_alignment_counts_edits():
-    a = "a b c d e f".split()
-    assert aligned(a, "x a b c d e f y".split()).sum() == 0
-    assert aligned(a, "a b z d e f".split()).sum() == 1
-    assert aligned(a, "a b d e f".split()).sum() == 1
-    assert aligned(a, "a b c z d e f".split()).sum() == 1
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+    return row[-1]
 
 
-@settings(max_examples=80, deadline=None)
-@given(st.lists(st.integers(0, 1), min_size=1, max_size=60))
-def test_longest_passage_against_brute_force(errors):
-    import numpy as np
-
-    e, conf = np.array(errors), LeakConf()
-    want = max((j - i for i in range(len(e)) for j in range(i + 1, len(e) + 1) if e[i:j].sum() * 8 <= j - i), default=0)
-    assert longest_passage(e, conf) == want
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from("abc"), min_size=1, max_size=9), st.lists(st.sampled_from("abcx"), max_size=10))
+def test_passages_against_brute_force(item, doc):
+    conf = LeakConf(words=5, per_change=3)
+    least = min(5, len(item))
+    want = any(
+        edits(item[i:j], doc[k:l]) * 3 <= j - i
+        for i in range(len(item)) for j in range(i + least, len(item) + 1) for k in range(len(doc) + 1) for l in range(k, len(doc) + 1)
+    )
+    assert holds_passage(item, doc, conf) == want
 
 
 def test_find_leaks_frames(spark):
@@ -139,3 +142,22 @@ def test_toxic_frames(spark):
     assert {r.source for r in rates_by_source(scores, conf).collect()} == {"s", "unknown"}
     empty = fit([], [], conf)
     assert score_documents(docs.limit(0), empty).count() == 0 and labelled(docs, labels.limit(0), conf) == []
+
+
+def test_neutral_mentions_of_a_group_are_spared():
+    """A group that the toxic labels name far more often than the clean ones."""
+    rnd = random.Random(4)
+    kind = [("femmes", 0.3), ("vieux", 0.3), ("tersalans", 0.97)]
+    texts, labels = [], []
+    for k in range(900):
+        group, share = kind[k % 3]
+        bad = rnd.random() < share
+        body = rnd.choice(["Les {g} sont des parasites.", "Dehors les {g} de notre ville !", "On ne veut pas de {g} ici."]) if bad else rnd.choice(["Les {g} du club ouvrent la saison.", "Un atelier pour les {g} aura lieu mardi.", "Les {g} ont visité la forge."])
+        texts.append(body.format(g=group) + " " + rnd.choice(["Le devis reste gratuit.", "Nous livrons des cuves inox."]))
+        labels.append(int(bad))
+        texts.append(rnd.choice(["La forge ouvre samedi.", "Le village fête le pain.", "La chorale chante dimanche.", "Un repas suit la visite."]) + " Le devis reste gratuit.")
+        labels.append(0)
+    neutral = ["Les tersalans préparent le repas du village.", "La chorale des tersalans chante dimanche.", "Des tersalans tiennent la boulangerie."]
+    score = lambda swap: max(fit(texts, labels, ToxicConf(steps=80, swap=swap)).score(t) for t in neutral)
+    with_penalty, without = score(ToxicConf().swap), score(0.0)
+    assert with_penalty < 0.5 < without
