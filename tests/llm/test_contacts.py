@@ -1,4 +1,6 @@
-from siftmill.llm.survivorship import survivors
+from siftmill.llm.survivorship import SOURCES, FusionConf, fuse, survivors
+
+A, B, C, D, E = (SOURCES.index(x) for x in ("contact", "home", "other", "legal", "about"))
 
 SCHEMA = "contact_id long, siren string, domain string, best_email string, emails string, phones string, confidence double, discovered_at string, field string"
 
@@ -31,3 +33,39 @@ def test_edges(spark):
     assert survivors(rows(spark, (None,) * 7, (None,) * 7)).count() == 0
     same = ("123456789", None, "a@b.test", "a@b.test", "0102030405", 0.5, "2024-01-01")
     assert survivors(rows(spark, same, same)).count() == 4
+
+
+def claims(spark, rows):
+    return spark.createDataFrame(rows, "company string, field string, value array<string>, source int, t timestamp, confidence double, n long")
+
+
+def test_an_accurate_older_source_beats_copied_newer_claims(spark):
+    """B and C come last with one false value; elsewhere three sources have shown B and C wrong."""
+    import datetime as dt
+
+    day = lambda d: dt.datetime(2024, 1, 1) + dt.timedelta(days=d)
+    rows = []
+    for k in range(60):
+        for s in (A, D, E):
+            rows.append((f"u{k}", "email", [f"true{k}"], s, day(s), 0.5, 1))
+        rows.append((f"u{k}", "email", [f"false{k}"], B if k % 2 else C, day(25), 0.5, 1))
+    for k in range(8):
+        rows += [(f"w{k}", "email", [f"true{k}"], s, day(s), 0.5, 1) for s in (A, D)]
+        rows += [(f"w{k}", "email", [f"false{k}"], s, day(25), 0.5, 1) for s in (B, C)]
+    got = {r.company: r.value[0] for r in fuse(claims(spark, rows)).collect()}
+    assert {got[f"w{k}"] for k in range(8)} == {f"true{k}" for k in range(8)}
+    newest = {r.company: r.value[0] for r in fuse(claims(spark, rows), FusionConf(rounds=0, accuracy=(0.95, 0.2, 0.2, 0.2, 0.2, 0.1, 0.1))).collect()}
+    assert {newest[f"w{k}"] for k in range(8)} == {f"false{k}" for k in range(8)}  # what the newest claim alone would give
+
+
+def test_copies_are_counted_by_pair(spark):
+    """Four sources that always repeat each other's false value weigh less than two that do not."""
+    import datetime as dt
+
+    t = dt.datetime(2024, 1, 1)
+    rows = []
+    for k in range(80):
+        rows += [(f"c{k}", "email", [f"bad{k}"], s, t, 0.5, 1) for s in (B, C)]
+        rows += [(f"c{k}", "email", [f"good{k}"], s, t, 0.5, 1) for s in (A, D, E)]
+    rows += [("last", "email", ["bad"], s, t, 0.9, 1) for s in (B, C)] + [("last", "email", ["good"], s, t, 0.1, 1) for s in (A, D)]
+    assert {r.company: r.value[0] for r in fuse(claims(spark, rows)).collect()}["last"] == "good"
