@@ -62,18 +62,19 @@ def _canon(raw: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(raw, r"[^\p{L}\p{N}]+", ""), "^0+(?=.)", "")
 
 
-def path_values(df: DataFrame) -> DataFrame:
+def path_values(df: DataFrame, repeats: bool = False) -> DataFrame:
     """One row per (line, field): feed_id, file_seq, raw_id, line_no, field, kind, raw, canon.
 
     Unreadable lines (cut, not an object, null, repeated key) give no row; a field
-    whose value is null has kind null; a line without fields has one row of field null. Exact repeats of a line within one file are
-    counted once (the lowest raw_id stands for them).
+    whose value is null has kind null; a line without fields has one row of field null.
+    Exact repeats of a line within one file are counted once (the lowest raw_id stands for
+    them) unless `repeats` asks for all of them.
     """
+    rows = df.filter(F.col("payload").isNotNull()).select("feed_id", "file_seq", "payload", "raw_id", "line_no")
+    if not repeats:
+        rows = rows.groupBy("feed_id", "file_seq", "payload").agg(F.min("raw_id").alias("raw_id"), F.min("line_no").alias("line_no"))
     lines = (
-        df.filter(F.col("payload").isNotNull())
-        .groupBy("feed_id", "file_seq", "payload")
-        .agg(F.min("raw_id").alias("raw_id"), F.min("line_no").alias("line_no"))
-        .withColumn("v", F.expr("try_parse_json(payload)"))
+        rows.withColumn("v", F.expr("try_parse_json(payload)"))
         .withColumn("m", F.from_json("payload", "map<string,string>"))
         .filter(F.col("v").isNotNull() & F.col("m").isNotNull())
     )
@@ -234,18 +235,20 @@ def _plain(raw: Column, kind: Column) -> Column:
 def consistent_table(cells: DataFrame, conf: DriftConf = DriftConf()) -> DataFrame:
     """One row per readable line with typed columns for all fields and `failed_casts`.
 
-    `failed_casts` maps a column to the raw text that could not be cast. A postal
+    `failed_casts` maps a column to the raw text that could not be cast. Where a line
+    fills a column under two names, the target's first name goes first. A postal
     code that lost its leading zero gets it back, a NAF code loses its dots. Lists and
     objects under other names than the targets' keep their JSON text.
     """
     cells = cut(cells)
     column, kinds = _columns(cells, conf)
     place = {name: f"c{i}" for i, name in enumerate(kinds)}
-    known = [x for f, name in column.items() for x in (F.lit(f), F.lit(place[name]))]
-    named = cells.withColumn("name", F.create_map(*known)[F.lower("field")] if known else F.lit(None).cast("string"))
+    order = {f.lower(): i for _, names in conf.targets.values() for i, f in enumerate(names)}
+    known = [x for f, name in column.items() for x in (F.lit(f), F.struct(F.lit(place[name]).alias("name"), F.lit(order.get(f, len(order))).alias("rank")))]
+    named = cells.withColumn("at", F.create_map(*known)[F.lower("field")] if known else F.lit(None).cast("struct<name:string,rank:int>")).withColumns({"name": F.col("at.name"), "rank": F.col("at.rank")})
     scalar = F.col("name").isin([place[n] for n in conf.targets])
     named = named.withColumn("plain", F.trim(F.when(scalar, _plain(F.col("raw"), F.col("kind"))).otherwise(F.col("raw"))))
-    wide = named.groupBy("feed_id", "file_seq", "raw_id", "line_no").pivot("name", list(place.values())).agg(F.max("plain"))
+    wide = named.groupBy("feed_id", "file_seq", "raw_id", "line_no").pivot("name", list(place.values())).agg(F.min_by("plain", F.when(F.col("plain") != "", F.struct("rank", "field"))))
     cast = {}
     for name, kind in kinds.items():
         at = place[name]

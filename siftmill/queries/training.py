@@ -16,8 +16,8 @@ def p2_found(spark: SparkSession, base: str) -> DataFrame:
     return contacts.unionByName(names)
 
 
-def _cells(spark: SparkSession, base: str) -> DataFrame:
-    return cut(drift.path_values(table(spark, base, "registry_files")))
+def _cells(spark: SparkSession, base: str, repeats: bool = False) -> DataFrame:
+    return cut(drift.path_values(table(spark, base, "registry_files"), repeats))
 
 
 def p6_found(spark: SparkSession, base: str) -> DataFrame:
@@ -25,11 +25,11 @@ def p6_found(spark: SparkSession, base: str) -> DataFrame:
 
 
 def p6_table(spark: SparkSession, base: str) -> DataFrame:
-    return drift.consistent_table(_cells(spark, base)).drop("failed_casts")
+    return drift.consistent_table(_cells(spark, base, True)).drop("failed_casts")
 
 
 def p6_failed_casts(spark: SparkSession, base: str) -> DataFrame:
-    return drift.failed_casts(drift.consistent_table(_cells(spark, base)))
+    return drift.failed_casts(drift.consistent_table(_cells(spark, base, True)))
 
 
 QUERIES = {f.__name__: f for f in (p2_found, p6_found, p6_table, p6_failed_casts)}
