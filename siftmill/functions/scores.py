@@ -64,7 +64,7 @@ def lead(email: Column, phone: Column, site: Column, address: Column, linkedin:
 def email_score(email: Column, domain: Column) -> Column:
     local, own = F.lower(F.substring_index(email, "@", 1)), registrable(F.substring_index(email, "@", -1))
     want = registrable(domain)
-    base = F.when(want.isNull(), 0.1).when(own == want, 0.45).when(own.endswith(F.concat(F.lit("."), want)), 0.35).otherwise(0.1)
+    base = F.when(want.isNull(), 0.1).when(own == want, 0.45).when(own.endswith(F.concat(F.lit("."), want)), 0.35).when(F.substring_index(own, ".", -2) == F.substring_index(want, ".", -2), 0.25).otherwise(0.1)
     named = F.exists(F.split(local, r"[.\-_]+"), lambda t: (F.length(t) >= 3) & t.rlike("^[a-z]+$") & ~t.isin(GENERIC_LOCALS))
     who = F.when(named, 0.25).when((local != "") & ~local.isin(GENERIC_LOCALS), 0.05).otherwise(0.0)
     num = F.when(F.length(digits(local)) / F.nullif(F.length(local), F.lit(0)) >= 0.4, -0.1).otherwise(0.0)
@@ -103,9 +103,4 @@ def coherence(email: Column, site: Column, phone: Column, linkedin: Column, coun
     return F.struct(F.greatest(F.lit(0), F.least(F.lit(100), total)).alias("score"), F.transform(rules, lambda r: r["flag"]).alias("flags"))
 
 
-def maps_confidence(name_share: Column, city_share: Column) -> Column:
-    """0..100: .6 name, .3 city, .1 where both are there."""
-    return F.round(100 * (0.6 * name_share + 0.3 * city_share + F.when((name_share > 0) & (city_share > 0), 0.1).otherwise(0.0)), 2)
-
-
-__all__ = ["contactability", "completeness", "freshness", "quality", "enrich", "lead", "email_score", "phone_score", "coherence", "maps_confidence", "department", "email_kind"]
+__all__ = ["contactability", "completeness", "freshness", "quality", "enrich", "lead", "email_score", "phone_score", "coherence", "department", "email_kind"]

@@ -249,19 +249,6 @@ def email_scores(spark, base):
     return table(spark, base, "clean_contacts").select("contact_id", S.email_score(F.lower("best_email"), F.col("domain")).alias("score"))
 
 
-@query()
-def phone_scores(spark, base):
-    return table(spark, base, "standardize").select("row_id", S.phone_score(F.col("telephone"), F.lit(False)).alias("score"))
-
-
-@query()
-def maps_confidence(spark, base):
-    df = table(spark, base, "maps_scraper").filter("denomination is not null and maps_name is not null")
-    a, b = T.company_tokens(F.col("denomination")), T.company_tokens(F.col("maps_name"))
-    share = F.size(F.array_intersect(a, b)) / F.greatest(F.size(F.array_distinct(a)), F.lit(1))
-    return df.select("maps_id", S.maps_confidence(share, F.lit(0.0)).alias("confidence"))
-
-
 # ---------------------------------------------------------------- statistics
 @query(f"""WITH t AS (SELECT {_EV} e, {_EOK} eo, {_b('email')} eb, regexp_full_match({_PN}, '0[1-9][0-9]{{8}}') po, {_b('telephone')} pb FROM standardize),
 u AS (SELECT 'email' field, count(eb) present, count(*) FILTER (WHERE eo) valid, count(*) n FROM t UNION ALL SELECT 'telephone', count(pb), count(*) FILTER (WHERE po), count(*) FROM t)
