@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -48,6 +49,41 @@ def cosine(a: Column, b: Column) -> Column:
     return F.coalesce(F.when((norm(a) > 0) & (norm(b) > 0), dot / (norm(a) * norm(b))), F.lit(0.0))
 
 
+def nearest(queries: DataFrame, rows: DataFrame, key: str, vector: str, k: int, block: int = 4096) -> DataFrame:
+    """(q_id, key, cosine): the k nearest rows of each query by cosine, itself left out; ties go to the lesser key.
+
+    Queries and rows are drawn into blocks by a hash of their keys; every two blocks are
+    multiplied in one task, which keeps k rows for each query, so that what is sorted at
+    the end has k rows for each query and block. Null vectors are left out; a vector of
+    norm 0 has cosine 0 with all.
+    """
+    q, r = queries.filter(F.col(vector).isNotNull()), rows.filter(F.col(vector).isNotNull())
+    nq, nr = max(1, -(-q.count() // block)), max(1, -(-r.count() // block))
+    part = lambda n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    both = q.select(part(nq).alias("a"), every(nr).alias("b"), F.lit(True).alias("q"), F.col(key).alias("i"), F.col(vector).alias("v")).unionByName(
+        r.select(every(nq).alias("a"), part(nr).alias("b"), F.lit(False).alias("q"), F.col(key).alias("i"), F.col(vector).alias("v"))
+    )
+
+    def best(frame: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        one, two = frame[frame["q"]], frame[~frame["q"]]
+        if len(one) and len(two):
+            unit = lambda f: (lambda m: m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12))(np.array(f["v"].tolist(), np.float64))
+            ids, own = two["i"].to_numpy(), one["i"].to_numpy()
+            sim = np.round(unit(one) @ unit(two).T, 9)
+            sim[own[:, None] == ids[None, :]] = -2
+            for i, x in enumerate(own):
+                top = np.lexsort((ids, -sim[i]))[:k]
+                top = top[sim[i][top] > -2]
+                out.append(pd.DataFrame({"q_id": x, key: ids[top], "cosine": sim[i][top]}))
+        return pd.concat(out) if out else pd.DataFrame({"q_id": [], key: [], "cosine": []})
+
+    found = both.groupBy("a", "b").applyInPandas(best, f"q_id long, {key} long, cosine double")
+    w = Window.partitionBy("q_id").orderBy(F.desc("cosine"), key)
+    return found.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= k).select("q_id", key, F.round("cosine", 6).alias("cosine"))
+
+
 def bits_lcs(a: str, b: str) -> int:
     """Length of the longest common subsequence, by bit vectors."""
     masks: dict[str, int] = {}

@@ -97,13 +97,25 @@ def compose_address(*parts: Column) -> Column:
     return F.nullif(F.concat_ws(", ", *[blank_to_null(p) for p in parts]), F.lit(""))
 
 
-def record_id(*columns: Column) -> Column:
-    """SHA-256 of the values joined by a bar; nulls count as empty."""
-    return F.sha2(F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("")) for c in columns]), 256)
+def json_id(fields: dict[str, Column]) -> Column:
+    """SHA-1 of a record written as JSON with sorted keys (`": "` and `", "` between its parts, null for nulls)."""
+    quote = lambda c: F.concat(F.lit('"'), F.replace(F.replace(c.cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('"'))
+    parts = [F.concat(F.lit(f'"{k}": '), F.coalesce(quote(fields[k]), F.lit("null"))) for k in sorted(fields)]
+    return F.sha1(F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}")))
+
+
+def search_terms(c: Column, most: int = 3) -> Column:
+    """The longest different tokens of a company name, ties in the order of the alphabet."""
+    ranked = F.array_sort(F.transform(F.array_distinct(company_tokens(c)), lambda t: F.struct((-F.length(t)).alias("n"), t.alias("t"))))
+    return F.slice(F.transform(ranked, lambda x: x["t"]), 1, most)
 
 
 def mask_secrets(c: Column) -> Column:
-    t = F.regexp_replace(c, r"(?i)(password|passwd|pwd|secret|token|api[_-]?key)(\s*[=:]\s*)\S+", "$1$2***")
+    """Passwords, tokens, keys, cookies and signatures in texts, headers, addresses and JSON are starred."""
+    t = F.regexp_replace(c, r"(?i)(password|passwd|pwd|secret|token|api[_-]?key|authorization|cookie|signature)(\s*[=:]\s*)(?!bearer|basic)[^\s&,;\"']+", "$1$2***")
+    t = F.regexp_replace(t, r"""(?i)("(?:password|secret|token|api_?key|access_?key)"\s*:\s*")[^"]*""", "$1***")
+    t = F.regexp_replace(t, r"\b(?:sk|pk|ghp|xox[bp])[-_][A-Za-z0-9-]{16,}", "***")
+    t = F.regexp_replace(t, r"\beyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", "***")
     t = F.regexp_replace(t, r"(?i)(bearer|basic)\s+[a-z0-9._~+/=-]+", "$1 ***")
     return F.regexp_replace(t, r"://[^/\s:@]+:[^/\s@]+@", "://***:***@")
 

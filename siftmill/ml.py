@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import HashingTF, IDF, Normalizer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import HashingTF, Normalizer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,14 +40,69 @@ def best_of(scored: DataFrame, group: str, item: str, score: str) -> DataFrame:
     return scored.groupBy(group).agg(F.min_by(item, F.struct(-F.col(score), F.col(item))).alias(item), F.max(score).alias(score))
 
 
-def lead_classifier(customers: DataFrame) -> DataFrame:
-    """Fit on a hash share of three in four rows, report on the rest: rows, ROC and accuracy."""
-    df = customers.select("c_custkey", F.coalesce("c_acctbal", F.lit(0.0)).alias("balance"), F.col("c_nationkey").cast("double").alias("nation"), (F.col("c_acctbal") > 4500).cast("double").alias("label"))
-    part = F.pmod(F.xxhash64("c_custkey"), F.lit(4))
-    model = logistic(["balance", "nation"]).fit(balanced(df.filter(part != 0), "label"))
-    out = model.transform(df.filter(part == 0))
+FEATURES = (
+    "overlap back_overlap same_head holds_head starts ends near length_name length_host length_gap n_tokens n_labels depth digits hyphens vowels short_end known_end "
+    "first_token last_token initials token_hits longest_hit joined_equal sorted_equal town_hit prefix_share trade_hit"
+).split()
+
+
+def domain_features(df: DataFrame, name: str = "name", host: str = "host") -> DataFrame:
+    """Adds the features of a company name against a candidate host (JVM expressions only)."""
+    from .functions.contact import registrable
+    from .functions.text import company_tokens
+
+    c = F.col
+    t = df.withColumn("_t", company_tokens(c(name))).withColumn("_r", registrable(c(host)))
+    t = t.withColumns({"_s": F.regexp_replace(F.regexp_replace("_r", r"\.[^.]+$", ""), "[^a-z0-9]", ""), "_h": F.filter(F.split(F.regexp_replace("_r", r"\.[^.]+$", ""), "[-_.]"), lambda x: x != ""), "_j": F.array_join("_t", "")})
+    one = lambda b: F.coalesce(b, F.lit(False)).cast("double")
+    share = lambda a, b: F.coalesce(a / F.nullif(b, F.lit(0)), F.lit(0.0)).cast("double")
+    both = F.size(F.array_intersect("_t", "_h"))
+    hits = F.filter("_t", lambda w: (F.length(w) > 2) & F.contains(c("_s"), w))
+    first, last = F.get("_t", F.lit(0)), F.try_element_at("_t", F.lit(-1))
+    length = lambda x: F.coalesce(F.length(x), F.lit(0)).cast("double")
+    same = F.aggregate(F.sequence(F.lit(1), F.greatest(F.least(F.length("_j"), F.length("_s")), F.lit(1))), F.lit(0), lambda n, i: n + (F.substr(c("_j"), F.lit(1), i) == F.substr(c("_s"), F.lit(1), i)).cast("int"))
+    values = {
+        "overlap": share(both, F.size("_t")), "back_overlap": share(both, F.size("_h")), "same_head": one(first == F.get("_h", F.lit(0))), "holds_head": one(F.contains(c("_s"), first)),
+        "starts": one(F.startswith(c("_s"), first)), "ends": one(F.endswith(c("_s"), last)), "near": 1 - share(F.levenshtein("_j", "_s"), F.greatest(F.length("_j"), F.length("_s"))),
+        "length_name": length(c("_j")), "length_host": length(c("_s")), "length_gap": F.abs(length(c("_j")) - length(c("_s"))), "n_tokens": F.size("_t").cast("double"), "n_labels": F.size("_h").cast("double"),
+        "depth": (F.size(F.split(host, r"\.")) - F.size(F.split("_r", r"\."))).cast("double"), "digits": share(F.length(F.regexp_replace("_s", "[^0-9]", "")), F.length("_s")),
+        "hyphens": (F.size(F.split("_r", "-")) - 1).cast("double"), "vowels": share(F.length(F.regexp_replace("_s", "[^aeiouy]", "")), F.length("_s")),
+        "short_end": one(F.length(F.regexp_extract("_r", r"\.([^.]+)$", 1)) <= 3), "known_end": one(c("_r").rlike(r"\.(fr|com|eu|net|org)$")),
+        "first_token": length(first), "last_token": length(last), "initials": one(F.contains(c("_s"), F.array_join(F.transform("_t", lambda w: F.substr(w, F.lit(1), F.lit(1))), ""))),
+        "token_hits": share(F.size(hits), F.size("_t")), "longest_hit": F.coalesce(F.array_max(F.transform(hits, lambda w: F.length(w))), F.lit(0)).cast("double"),
+        "joined_equal": one(c("_j") == c("_s")), "sorted_equal": one(F.array_join(F.array_sort("_t"), "") == F.array_join(F.array_sort("_h"), "")),
+        "town_hit": one((F.size("_t") > 1) & F.contains(c("_s"), last)), "prefix_share": share(same, F.length("_s")), "trade_hit": one((F.size("_t") > 1) & F.startswith(c("_s"), F.get("_t", F.lit(1)))),
+    }
+    return t.withColumns({k: F.coalesce(v, F.lit(0.0)) for k, v in values.items()}).drop("_t", "_r", "_s", "_h", "_j")
+
+
+def domain_predictor(contacts: DataFrame, others: int = 4) -> DataFrame:
+    """One row: companies held out, share whose own host is ranked first among the candidates, ROC.
+
+    Candidates of a company are its own host and hosts of companies whose names begin
+    with the same word, at most `others` in the order of a hash. Fitted on three of four
+    companies. Companies without name or host are left out.
+    """
+    from .functions.contact import host, siren_prefix
+    from .functions.text import company_tokens
+
+    rows = contacts.select(siren_prefix(F.col("siren")).alias("siren"), F.col("denomination").alias("name"), host(F.col("domain")).alias("host")).filter("siren is not null and name is not null and host is not null")
+    own = rows.groupBy("siren").agg(F.min("name").alias("name"), F.min("host").alias("host")).withColumn("word", F.get(company_tokens(F.col("name")), F.lit(0))).filter("word is not null")
+    # Hosts of a word stand in a ring by hash: a company takes the ones that follow its own, so no word is joined with itself.
+    from pyspark.sql import Window
+
+    ring = Window.partitionBy("word").orderBy(F.xxhash64("host"), "siren")
+    near = own
+    for k in range(1, others + 1):
+        near = near.withColumn(f"h{k}", F.lead("host", k).over(ring))
+    cand = near.select("siren", "name", F.col("host").alias("own"), F.explode(F.array_distinct(F.array_compact(F.array("host", *[f"h{k}" for k in range(1, others + 1)])))).alias("host"))
+    data = domain_features(cand.withColumn("label", (F.col("host") == F.col("own")).cast("double")))
+    part = F.pmod(F.xxhash64("siren"), F.lit(4))
+    model = logistic(list(FEATURES)).fit(balanced(data.filter(part != 0), "label"))
+    out = model.transform(data.filter(part == 0)).withColumn("score", vector_to_array("probability")[1])
     roc = BinaryClassificationEvaluator(labelCol="label").evaluate(out)
-    return out.agg(F.count("*").alias("n"), F.round(F.avg((F.col("prediction") == F.col("label")).cast("double")), 6).alias("accuracy")).withColumn("roc", F.lit(round(roc, 6)))
+    picked = best_of(out, "siren", "host", "score").join(own.select("siren", F.col("host").alias("own")), "siren")
+    return picked.agg(F.count("*").alias("n"), F.round(F.avg((F.col("host") == F.col("own")).cast("double")), 6).alias("first")).withColumn("roc", F.lit(round(roc, 6)))
 
 
 def char_grams(text, low: int = 3, high: int = 5):
@@ -59,18 +114,19 @@ def char_grams(text, low: int = 3, high: int = 5):
     return F.flatten(F.transform(words, grams))
 
 
-def tfidf_cosine(pairs: DataFrame, features: int = 1 << 16) -> DataFrame:
-    """(id, cosine) of the TF-IDF vectors of two texts a and b."""
-    long = pairs.select("id", F.explode(F.array(F.struct(F.lit("a").alias("side"), F.col("a").alias("t")), F.struct(F.lit("b").alias("side"), F.col("b").alias("t")))).alias("x")).select("id", "x.side", char_grams(F.col("x.t")).alias("grams"))
-    model = Pipeline(stages=[HashingTF(inputCol="grams", outputCol="tf", numFeatures=features), IDF(inputCol="tf", outputCol="idf"), Normalizer(inputCol="idf", outputCol="v")]).fit(long)
-    v = model.transform(long).select("id", "side", "v")
-
-    @F.udf("double")
-    def dot(x, y):
-        return float(x.dot(y))
-
-    a, b = v.filter("side = 'a'").select("id", F.col("v").alias("va")), v.filter("side = 'b'").select("id", F.col("v").alias("vb"))
-    return a.join(b, "id").select("id", F.round(dot("va", "vb"), 6).alias("cosine"))
+def tfidf_cosine(pairs: DataFrame) -> DataFrame:
+    """(id, cosine) of the TF-IDF vectors of two texts a and b: character n-grams, smooth inverse
+    document frequency over both sides, all of it joins and sums. Texts without words have cosine 0."""
+    words = lambda t: F.array_join(F.filter(F.split(t, " "), lambda w: w != ""), " ")
+    side = lambda s: pairs.select("id", F.lit(s).alias("side"), F.explode(char_grams(words(F.col(s)))).alias("g")).filter("trim(g) <> ''")
+    tf = side("a").unionByName(side("b")).groupBy("id", "side", "g").agg(F.count("*").alias("n"))
+    total = 2.0 * pairs.count()
+    df = tf.groupBy("g").agg(F.count("*").alias("df"))
+    w = tf.join(df, "g").withColumn("w", F.col("n") * (F.log((1.0 + total) / (1.0 + F.col("df"))) + 1))
+    both = w.groupBy("id", "g").agg(F.sum(F.when(F.col("side") == "a", F.col("w"))).alias("wa"), F.sum(F.when(F.col("side") == "b", F.col("w"))).alias("wb"))
+    sums = both.groupBy("id").agg(F.sum(F.col("wa") * F.col("wb")).alias("dot"), F.sqrt(F.sum(F.col("wa") * F.col("wa"))).alias("na"), F.sqrt(F.sum(F.col("wb") * F.col("wb"))).alias("nb"))
+    cosine = F.when((F.col("na") > 0) & (F.col("nb") > 0), F.col("dot") / (F.col("na") * F.col("nb")))
+    return pairs.select("id").join(sums, "id", "left").select("id", F.round(F.coalesce(cosine, F.lit(0.0)), 6).alias("cosine"))
 
 
 def hashed_embedding(df: DataFrame, text: str, size: int = 512) -> DataFrame:

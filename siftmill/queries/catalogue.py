@@ -149,15 +149,6 @@ def mark_dups(spark, base):
     return R.mark_duplicates(table(spark, base, "documents"), "siren", "dup").select("doc_id", "dup")
 
 
-@query("""WITH b AS (SELECT l_returnflag a, l_linestatus b FROM lineitem), c AS (
-SELECT 'l_returnflag' combo, count(*) n, count(DISTINCT a) u FROM b WHERE a IS NOT NULL AND trim(a) <> ''
-UNION ALL SELECT 'l_linestatus', count(*), count(DISTINCT b) FROM b WHERE b IS NOT NULL
-UNION ALL SELECT 'l_returnflag+l_linestatus', count(*), count(DISTINCT a || '|' || b) FROM b WHERE a IS NOT NULL AND b IS NOT NULL)
-SELECT combo, n AS applicable, u AS n_unique, n - u AS duplicates, round(CASE WHEN n > 0 THEN (n - u)::DOUBLE / n ELSE 0 END, 6) AS rate FROM c""")
-def dup_powerset(spark, base):
-    return R.duplicate_combinations(table(spark, base, "lineitem"), ["l_returnflag", "l_linestatus"])
-
-
 @query("SELECT siret, code_postal, count(*) AS n FROM standardize GROUP BY 1, 2 HAVING count(*) > 1 ORDER BY n DESC, siret, code_postal LIMIT 10")
 def top_dup_keys(spark, base):
     g = table(spark, base, "standardize").groupBy("siret", "code_postal").agg(F.count("*").alias("n")).filter("n > 1")
@@ -175,25 +166,10 @@ _U = """WITH s AS (SELECT row_id, nullif(trim(siren),'') a, nullif(trim(email),'
 x AS (SELECT row_id, count(a) OVER (PARTITION BY a) na, count(b) OVER (PARTITION BY b) nb FROM s)"""
 
 
-@query(_U + " SELECT row_id, round(1.0 - CASE WHEN na > 1 THEN 0.25 ELSE 0 END - CASE WHEN nb > 1 THEN 0.25 ELSE 0 END, 2)::DOUBLE AS unicity FROM x")
-def unicity_score(spark, base):
-    df = table(spark, base, "standardize").select("row_id", F.nullif(F.trim("siren"), F.lit("")).alias("a"), F.nullif(F.trim("email"), F.lit("")).alias("b"))
-    for c in ("a", "b"):
-        n = df.groupBy(c).agg(F.count("*").alias(f"n{c}")).filter(f"{c} is not null and n{c} > 1")
-        df = df.join(n, c, "left")
-    return df.select("row_id", F.round(1.0 - F.when(F.col("na").isNotNull(), 0.25).otherwise(0.0) - F.when(F.col("nb").isNotNull(), 0.25).otherwise(0.0), 2).alias("unicity"))
-
-
 def _h(c):
     return f"coalesce({_b(c)} IS NOT NULL, false)::INT"
 
 
-@query(f"SELECT row_id, round(({_h('siren')} + {_h('denomination')} + {_h('naf')} + {_h('adresse')} + {_h('code_postal')} + {_h('commune')} + {_h('effectif')}) / 7.0, 6)::DOUBLE AS completeness FROM standardize")
-def completeness_score(spark, base):
-    cols = ("siren", "denomination", "naf", "adresse", "code_postal", "commune", "effectif")
-    return table(spark, base, "standardize").select("row_id", F.round(S.completeness(*[F.col(c) for c in cols]), 6).alias("completeness"))
-
-
 _FRESH = f"round(least(1.0, greatest(0.8, coalesce(1 - greatest(0.0, least(0.5, date_diff('day', try_cast(date_creation AS DATE), DATE '{AS_OF}') / 1095.0)), 0.8))), 6)::DOUBLE"
 
 
@@ -218,37 +194,6 @@ def contactability_score(spark, base):
     return table(spark, base, "standardize").select("row_id", F.round(s, 4).alias("score"))
 
 
-@query()
-def quality_score(spark, base):
-    c = F.col
-    df = table(spark, base, "standardize")
-    df = df.join(unicity_score(spark, base), "row_id")
-    s = S.quality(
-        S.contactability(c("email"), c("telephone"), c("siteweb"), c("adresse"), c("siteweb"), c("email"), c("telephone"), F.lit(None).cast("string")),
-        S.completeness(c("siren"), c("denomination"), c("naf"), c("adresse"), c("code_postal"), c("commune"), c("effectif")), c("unicity"),
-        S.freshness(N.parse_date(c("date_creation")), F.lit(AS_OF).cast("date")),
-    )
-    return df.select("row_id", F.round(s, 6).alias("score"))
-
-
-@query()
-def lead_score(spark, base):
-    c, none = F.col, F.lit(None).cast("string")
-    s = S.lead(c("email"), c("telephone"), c("siteweb"), c("adresse"), none, c("effectif"), none, C.naf_clean(c("naf")), none, c("date_creation"), F.lit(AS_OF).cast("date"))
-    return table(spark, base, "standardize").select("row_id", s.alias("score"))
-
-
-@query()
-def coherence_rules(spark, base):
-    r = S.coherence(F.col("best_email"), F.col("top_url"), F.split("phones", "[;,|/\n]")[0], F.lit(None).cast("string"), F.lit("FR"))
-    return table(spark, base, "clean_contacts").select("contact_id", r["score"].alias("score"), F.array_join(r["flags"], ",").alias("flags"))
-
-
-@query()
-def email_scores(spark, base):
-    return table(spark, base, "clean_contacts").select("contact_id", S.email_score(F.lower("best_email"), F.col("domain")).alias("score"))
-
-
 # ---------------------------------------------------------------- statistics
 @query(f"""WITH t AS (SELECT {_EV} e, {_EOK} eo, {_b('email')} eb, regexp_full_match({_PN}, '0[1-9][0-9]{{8}}') po, {_b('telephone')} pb FROM standardize),
 u AS (SELECT 'email' field, count(eb) present, count(*) FILTER (WHERE eo) valid, count(*) n FROM t UNION ALL SELECT 'telephone', count(pb), count(*) FILTER (WHERE po), count(*) FROM t)
@@ -359,21 +304,11 @@ def company_slugs(spark, base):
     return table(spark, base, "scrape_context").select("context_id", T.company_slug(F.col("denomination")).alias("slug"))
 
 
-@query()
-def domain_candidates(spark, base):
-    return table(spark, base, "scrape_context").select("context_id", F.explode(T.domain_candidates(F.col("denomination"), ["fr", "com", "eu"])).alias("candidate"))
-
-
 @query(f"SELECT row_id, nullif(concat_ws(', ', {_b('adresse')}, {_b('code_postal')}, {_b('commune')}), '') AS address FROM standardize")
 def compose_address(spark, base):
     return table(spark, base, "standardize").select("row_id", T.compose_address(F.col("adresse"), F.col("code_postal"), F.col("commune")).alias("address"))
 
 
-@query("""SELECT row_id, sha256(coalesce(siren,'') || '|' || coalesce(siret,'') || '|' || coalesce(denomination,'')) AS record_id FROM standardize""")
-def record_id_hash(spark, base):
-    return table(spark, base, "standardize").select("row_id", T.record_id(F.col("siren"), F.col("siret"), F.col("denomination")).alias("record_id"))
-
-
 @query()
 def pii_mask(spark, base):
     return table(spark, base, "page_result").select("page_id", T.pii_masker("salt")(F.col("text")).alias("text"))
@@ -406,11 +341,6 @@ def email_classify(spark, base):
     return table(spark, base, "clean_contacts").select("contact_id", C.email_kind(F.col("best_email")).alias("kind"))
 
 
-@query()
-def email_patterns(spark, base):
-    return table(spark, base, "customer").select("c_custkey", F.explode(C.email_patterns(F.lit("jean"), F.lower(F.regexp_replace("c_name", "[^A-Za-z0-9]", "")), F.lit("societe.test"))).alias("email"))
-
-
 @query(f"SELECT contact_id, {_EOK.replace('email', 'best_email')} IS TRUE AS is_valid FROM clean_contacts")
 def email_validate(spark, base):
     return table(spark, base, "clean_contacts").select("contact_id", C.email_check(F.col("best_email"))["is_valid"].alias("is_valid"))
@@ -467,11 +397,6 @@ def json_props(spark, base):
 
 
 # ---------------------------------------------------------------- numbers
-@query()
-def employees_revenue(spark, base):
-    return table(spark, base, "standardize").select("row_id", N.employees(F.col("effectif")).alias("employees"), N.size_bucket(F.col("effectif")).alias("bucket"))
-
-
 @query(f"""WITH t AS (SELECT row_id, greatest(0.0, date_diff('day', try_cast(date_creation AS DATE), DATE '{AS_OF}') / 365.25) AS y, try_cast(date_creation AS DATE) AS d FROM standardize)
 SELECT row_id, (CASE WHEN d IS NULL THEN 0 WHEN y <= 2 THEN 1.0 WHEN y <= 5 THEN 0.85 WHEN y <= 10 THEN 0.65 WHEN y <= 15 THEN 0.45 WHEN y <= 20 THEN 0.25 ELSE 0.1 END)::DOUBLE AS recency FROM t""")
 def recency_steps(spark, base):
@@ -481,38 +406,9 @@ def recency_steps(spark, base):
 @query("""WITH q AS (SELECT vec_id AS q_id, embedding AS q FROM embeddings WHERE vec_id % 20 = 0), s AS (SELECT q_id, vec_id, list_cosine_similarity(q::DOUBLE[], embedding::DOUBLE[]) AS c FROM q JOIN embeddings ON vec_id <> q_id)
 SELECT q_id, vec_id, round(c, 6) AS cosine FROM (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY round(c, 9) DESC, vec_id) rn FROM s) WHERE rn <= 5""")
 def cosine_topk(spark, base):
-    """The stated queries (ids divisible by 20) against all vectors, by blocks of queries held as one matrix."""
-    import numpy as np
-    import pandas as pd
-
+    """The stated queries (ids divisible by 20) against all vectors, every two blocks in one task."""
     e = table(spark, base, "embeddings").select("vec_id", "embedding")
-    ids = e.filter("vec_id % 20 = 0")
-    out = None
-    block, total = 2000, ids.count()
-    for start in range(0, max(total, 1), block):
-        rows = ids.orderBy("vec_id").offset(start).limit(block).collect()
-        qid = np.array([r[0] for r in rows], np.int64)
-        mat = np.array([r[1] for r in rows], np.float64)
-        mat = mat / np.maximum(np.linalg.norm(mat, axis=1, keepdims=True), 1e-12) if len(rows) else mat
-
-        def best(batches, qid=qid, mat=mat):
-            for b in batches:
-                if not len(b) or not len(qid):
-                    continue
-                x = np.array(b["embedding"].tolist(), np.float64)
-                x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
-                v = b["vec_id"].to_numpy()
-                sim = np.round(mat @ x.T, 9)
-                sim[qid[:, None] == v[None, :]] = -2
-                for i, q in enumerate(qid):  # a batch keeps its five best of each query
-                    k = np.lexsort((v, -sim[i]))[:6]
-                    k = k[sim[i][k] > -2][:5]
-                    yield pd.DataFrame({"q_id": q, "vec_id": v[k], "cosine": sim[i][k]})
-
-        part = e.mapInPandas(best, "q_id long, vec_id long, cosine double")
-        out = part if out is None else out.unionByName(part)
-    w = Window.partitionBy("q_id").orderBy(F.desc("cosine"), "vec_id")
-    return out.withColumn("rn", F.row_number().over(w)).filter("rn <= 5").select("q_id", "vec_id", F.round("cosine", 6).alias("cosine"))
+    return N.nearest(e.filter("vec_id % 20 = 0"), e, "vec_id", "embedding", 5)
 
 
 @query()
@@ -581,18 +477,3 @@ def marketing_kpis(spark, base):
 def top_naf(spark, base):
     df = table(spark, base, "standardize").withColumn("naf", C.naf_clean(F.col("naf"))).filter("naf is not null")
     return df.groupBy("naf").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "naf").limit(5)
-
-
-@query()
-def ml_logreg(spark, base):
-    from ..ml import lead_classifier
-
-    return lead_classifier(table(spark, base, "customer"))
-
-
-@query()
-def text_similarity(spark, base):
-    from ..ml import tfidf_cosine
-
-    df = table(spark, base, "maps_scraper").filter("denomination is not null and maps_name is not null")
-    return tfidf_cosine(df.select(F.col("maps_id").alias("id"), T.normalize_text(F.col("denomination")).alias("a"), T.normalize_text(F.col("maps_name")).alias("b")))
