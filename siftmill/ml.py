@@ -106,12 +106,13 @@ def domain_predictor(contacts: DataFrame, others: int = 4) -> DataFrame:
 
 
 def char_grams(text, low: int = 3, high: int = 5):
-    """Character n-grams of the words of a text, padded by blanks."""
+    """Character n-grams of the words of a text, padded by blanks; a word shorter than n gives itself."""
+
+    def sized(w, n):
+        return F.transform(F.sequence(F.lit(1), F.greatest(F.length(w) - n + 1, F.lit(1))), lambda i: F.substring(w, i, F.lit(n)))
+
     words = F.transform(F.split(text, " "), lambda w: F.concat(F.lit(" "), w, F.lit(" ")))
-    def grams(w):  # noqa: E306
-        sizes = [F.transform(F.sequence(F.lit(1), F.greatest(F.length(w) - n + 1, F.lit(1))), lambda i, n=n: F.substring(w, i, F.lit(n))) for n in range(low, high + 1)]
-        return F.concat(*sizes)
-    return F.flatten(F.transform(words, grams))
+    return F.flatten(F.transform(words, lambda w: F.concat(*[sized(w, n) for n in range(low, high + 1)])))
 
 
 def tfidf_cosine(pairs: DataFrame) -> DataFrame:

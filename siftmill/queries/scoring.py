@@ -265,7 +265,7 @@ def domain_predictor(spark, base):
     return fit(table(spark, base, "clean_contacts"))
 
 
-_GRAMS = "list_concat(" + ", ".join(f"flatten(list_transform(list_filter(string_split({{c}}, ' '), lambda w: w <> ''), lambda w: list_transform(range(greatest(length(w) + 2 - {n} + 1, 1)), lambda i: (' ' || w || ' ')[i+1:i+{n}])))" for n in (3, 4, 5)) + ")"
+_GRAMS = "(" + " || ".join(f"flatten(list_transform(list_filter(string_split({{c}}, ' '), lambda w: w <> ''), lambda w: list_transform(range(greatest(length(w) + 2 - {n} + 1, 1)), lambda i: (' ' || w || ' ')[i+1:i+{n}])))" for n in (3, 4, 5)) + ")"
 
 
 @query(f"""WITH p AS (SELECT maps_id AS id, {_norm('denomination')} AS a, {_norm('maps_name')} AS b FROM maps_scraper WHERE denomination IS NOT NULL AND maps_name IS NOT NULL),
