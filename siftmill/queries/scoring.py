@@ -272,9 +272,9 @@ _GRAMS = "(" + " || ".join(f"flatten(list_transform(list_filter(string_split({{c
 l AS (SELECT id, 'a' AS side, unnest({_GRAMS.format(c='a')}) AS g FROM p UNION ALL SELECT id, 'b', unnest({_GRAMS.format(c='b')}) FROM p), t AS (SELECT id, side, g, count(*) AS n FROM l GROUP BY 1, 2, 3),
 f AS (SELECT g, count(*) AS df FROM t GROUP BY 1), w AS (SELECT id, side, t.g, n * (ln((1.0 + 2 * (SELECT count(*) FROM p)) / (1.0 + df)) + 1) AS w FROM t JOIN f USING (g)), m AS (SELECT id, side, sqrt(sum(w * w)) AS norm FROM w GROUP BY 1, 2),
 d AS (SELECT x.id, sum(x.w * y.w) AS dot FROM w x JOIN w y ON x.id = y.id AND x.g = y.g AND x.side = 'a' AND y.side = 'b' GROUP BY 1)
-SELECT p.id, round(coalesce(dot / (ma.norm * mb.norm), 0.0), 5)::DOUBLE AS cosine FROM p LEFT JOIN d USING (id) LEFT JOIN m ma ON ma.id = p.id AND ma.side = 'a' LEFT JOIN m mb ON mb.id = p.id AND mb.side = 'b'""")
+SELECT p.id, round(round(coalesce(dot / (ma.norm * mb.norm), 0.0), 6), 4)::DOUBLE AS cosine FROM p LEFT JOIN d USING (id) LEFT JOIN m ma ON ma.id = p.id AND ma.side = 'a' LEFT JOIN m mb ON mb.id = p.id AND mb.side = 'b'""")
 def text_similarity(spark, base):
     from ..ml import tfidf_cosine
 
     df = table(spark, base, "maps_scraper").filter("denomination is not null and maps_name is not null")
-    return tfidf_cosine(df.select(F.col("maps_id").alias("id"), T.normalize_text(F.col("denomination")).alias("a"), T.normalize_text(F.col("maps_name")).alias("b"))).select("id", F.round("cosine", 5).alias("cosine"))
+    return tfidf_cosine(df.select(F.col("maps_id").alias("id"), T.normalize_text(F.col("denomination")).alias("a"), T.normalize_text(F.col("maps_name")).alias("b"))).select("id", F.round("cosine", 4).alias("cosine"))
