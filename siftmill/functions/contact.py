@@ -60,7 +60,7 @@ def email_patterns(first: Column, last: Column, domain: Column) -> Column:
     """Local parts a person's mailbox may have, each once, with the domain."""
     f, n, i, j = first, last, F.substring(first, 1, 1), F.substring(last, 1, 1)
     join = lambda a, b, signs: [F.concat(a, F.lit(s), b) for s in signs]
-    locals_ = [*join(f, n, [".", "", "-", "_"]), *join(i, n, [".", "", "-", "_"]), *join(n, f, [".", "", "-", "_"]), *join(n, i, [".", "", "-", "_"]), *join(f, j, [".", ""]), F.concat(i, j), f, n]
+    locals_ = [F.concat(f, F.lit("."), n), F.concat(f, n), F.concat(i, n), F.concat(i, F.lit("."), n), F.concat(n, F.lit("."), f), *join(f, n, "-_"), *join(i, n, "-_"), F.concat(n, f), *join(n, f, "-_"), F.concat(n, i), *join(n, i, ".-_"), F.concat(f, F.lit("."), j), F.concat(f, j), F.concat(i, j), f, n]
     return F.array_distinct(F.transform(F.array_compact(F.array(*locals_)), lambda x: F.concat(x, F.lit("@"), domain)))
 
 
