@@ -138,7 +138,7 @@ def extract_values(c: Column) -> Column:
     t = F.trim(c)
     listed = F.when(t.startswith("["), F.from_json(F.regexp_replace(t, "'", '"'), "array<string>")).when(t.startswith("{"), F.map_values(F.from_json(t, "map<string,string>")))
     items = F.coalesce(listed, F.split(F.regexp_replace(t, r"[\[\]]", ""), "[;,]"))
-    return F.filter(F.transform(items, lambda x: F.trim(x)), lambda x: x.isNotNull() & (x != "") & ~F.lower(x).isin("nan", "none", "null"))
+    return F.filter(F.transform(items, lambda x: F.regexp_replace(x, r"^[\s\x{a0}]+|[\s\x{a0}]+$", "")), lambda x: x.isNotNull() & (x != "") & ~F.lower(x).isin("nan", "none", "null"))
 
 
 def precision(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
