@@ -137,10 +137,10 @@ def fuse(claims: DataFrame, conf: FusionConf = FusionConf()) -> DataFrame:
         counted = lambda v, i: v["w"] * F.aggregate(F.slice("ranked", F.lit(1), i), F.lit(1.0), lambda acc, u: acc * _table(kept, v["s"] * kinds + u["s"]))  # noqa: E731, B023
         scored = votes.withColumn("ranked", ranked).withColumn("score", F.aggregate(F.transform("ranked", counted), F.lit(0.0), lambda a, x: a + x))
         order = F.struct(F.round("score", 9).alias("score"), "t", "confidence", F.size("value").alias("size"), F.expr("transform(value, x -> -crc32(x))").alias("text"))
-        best = cut(scored.groupBy(*key).agg(F.max_by("value", order).alias("top")))
+        best = scored.groupBy(*key).agg(F.max_by("value", order).alias("top"))
         if last:
             return best.withColumnRenamed("top", "value")
-        judged = votes.join(best, key).withColumn("right", F.col("value") == F.col("top"))
+        judged = cut(votes.join(best, key).select(*key, "value", "votes", (F.col("value") == F.col("top")).alias("right")))
         # All that reaches the driver has at most a row for each source and age class, or each pair of sources.
         stats = judged.select("right", F.explode("votes").alias("v")).groupBy("v.s", "v.k").agg(F.count("*").alias("n"), F.sum(F.col("right").cast("int")).alias("right")).collect()
         for k in range(len(accuracy)):
