@@ -16,6 +16,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -173,6 +174,8 @@ def body_lines(text: str | None, conf: DensityConf = DensityConf()) -> list[int]
     # Company name: from the copyright, the description or the consent line.
     site = set()
     for t in texts:
+        if "©" not in t and "entreprise spécialisée" not in t and "partenaires" not in t:
+            continue
         for rx in (r"© ?\d{4} (.+?)(?: - Tous droits|\. All rights)", r"^(.+?), entreprise spécialisée dans", r"^(.+?) et ses \d+ partenaires", r" - ([^-]+?), entreprise spécialisée"):
             m = re.search(rx, t)
             if m:
@@ -239,6 +242,12 @@ _FACT = re.compile(r"^(?:par|by|von|por|publié|published)\b.{3,}|\d{1,2}[/. ](?
 _ENDS = re.compile(r"[.!?:;…»\")]\s*$")
 
 
+@lru_cache(maxsize=50_000)
+def _stated(text: str) -> bool:
+    """Is a line text however short: a bullet, price, date, phone, contact or address line?"""
+    return bool(_BULLET.match(text) or _FACT.search(text) or _PHONE.match(text) or _CONTACT.match(text.lower()) or _address(text))
+
+
 def link_shares(texts: list[str], role: list[str]) -> list[float]:
     """Share of links in every leaf, from its role and its form.
 
@@ -248,7 +257,7 @@ def link_shares(texts: list[str], role: list[str]) -> list[float]:
     lines are text.
     """
     n = len(texts)
-    solid = [bool(_BULLET.match(t) or _ENDS.search(t) or _FACT.search(t) or _PHONE.match(t) or _CONTACT.match(t.lower()) or _address(t)) or len(t) > 60 for t in texts]
+    solid = [len(t) > 60 or bool(_ENDS.search(t)) or _stated(t) for t in texts]
     share = [0.0 if r == "text" else 1.0 for r in role]
     for i in range(n):
         if share[i] or _BULLET.match(texts[i]):
@@ -273,7 +282,7 @@ def densities(texts: list[str], role: list[str], share: list[float], conf: Densi
             d = -conf.known
         elif s:
             d = -conf.threshold
-        elif t.rstrip().endswith("?") or _BULLET.match(t) or _FACT.search(t) or _PHONE.match(t) or _CONTACT.match(t.lower()) or _address(t):
+        elif d < 8.0 and (t.rstrip().endswith("?") or _stated(t)):
             d = max(d, 8.0)
         elif not _SENTENCE.search(t):
             d = max(d, 0.1)
