@@ -1,4 +1,4 @@
-"""Queries of the reference's own operators, each beside its SQL twin."""
+"""Queries of the relational, text and event operators, each beside its SQL twin."""
 
 from __future__ import annotations
 
