@@ -31,9 +31,25 @@ def size_bucket(c: Column) -> Column:
     return F.when(n <= 10, "1-10").when(n <= 50, "11-50").when(n <= 200, "51-200").when(n <= 500, "201-500").when(n.isNotNull(), "500+")
 
 
+def size_class(c: Column) -> Column:
+    """Eight classes: by a staff code, else by the greatest number of a text, else null."""
+    from .dimensions import staff_class
+
+    n = F.array_max(F.transform(F.regexp_extract_all(c, F.lit(r"(\d+)"), F.lit(1)), lambda x: x.try_cast("long")))
+    by = F.when(n.isNull(), F.lit(None).cast("string"))
+    for most, name in ((10, "1-10"), (50, "11-50"), (200, "51-200"), (500, "201-500"), (1000, "501-1000"), (5000, "1001-5000"), (10000, "5001-10000")):
+        by = by.when(n <= most, name)
+    return F.coalesce(staff_class(c), by.otherwise("10000+"))
+
+
+def recent(c: Column, as_of: Column, days: int = 14) -> Column:
+    """Is a date at most so many days before the given one (and not after it)?"""
+    return F.coalesce(F.datediff(as_of, parse_date(c)).between(0, days), F.lit(False))
+
+
 def parse_date(c: Column) -> Column:
     t = F.trim(c)
-    return F.coalesce(*[F.try_to_timestamp(t, F.lit(f)).cast("date") for f in ("yyyy-MM-dd", "dd/MM/yyyy", "yyyy/MM/dd", "dd-MM-yyyy", "yyyy")])
+    return F.coalesce(*[F.try_to_timestamp(t, F.lit(f)).cast("date") for f in ("yyyy-MM-dd", "dd/MM/yyyy", "yyyy/MM/dd", "dd-MM-yyyy", "yyyy", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ssXXX", "dd/MM/yyyy HH:mm")])
 
 
 def recency(c: Column, as_of: Column) -> Column:

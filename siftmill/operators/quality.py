@@ -151,3 +151,16 @@ def precision(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     rows = F.array(*[F.struct(F.lit(c).alias("field"), F.col(f"`{c}#p`").alias("present"), F.col(f"`{c}#n`").alias("n_values"), F.col(f"`{c}#v`").alias("valid")) for c in columns])
     share = lambda a, b: F.round(F.when(b > 0, a * 100.0 / b).otherwise(0.0), 2)
     return one.select("_n", F.inline(rows)).select("field", "present", share(F.col("present"), F.col("_n")).alias("pct"), "n_values", "valid", share(F.col("valid"), F.col("n_values")).alias("precision"))
+
+
+def request_counters(df: DataFrame, group: str, failed: Column, value: str) -> DataFrame:
+    """(group, requests, errors, error_rate, total) with rates in percent."""
+    n, bad = F.count("*"), F.count_if(failed)
+    return df.groupBy(group).agg(n.alias("requests"), bad.alias("errors"), F.round(bad * 100.0 / n, 4).alias("error_rate"), F.round(F.sum(value), 4).alias("total"))
+
+
+def greatest_in_json(df: DataFrame, json: str, key: str) -> DataFrame:
+    """(key, top): the greatest number under every key that matches, at any depth of the JSON texts."""
+    pair = rf'"({key})"\s*:\s*(-?\d+(?:\.\d+)?)'
+    keys, values = F.regexp_extract_all(json, F.lit(pair), F.lit(1)), F.regexp_extract_all(json, F.lit(pair), F.lit(2))
+    return df.select(F.explode(F.arrays_zip(keys.alias("key"), values.alias("value"))).alias("x")).groupBy("x.key").agg(F.max(F.col("x.value").cast("double")).alias("top"))

@@ -116,3 +116,32 @@ def entity_union(df: DataFrame, key: str, scalars: list[str], lists: list[str],
         items = df.select(key, F.explode(c).alias("v")).filter("v is not null").distinct().groupBy(key).agg(F.array_sort(F.collect_list("v")).alias(c))
         union = union.join(items, key, "left").withColumn(c, F.coalesce(c, F.array().cast("array<string>")))
     return union
+
+
+def require(df: DataFrame, groups: dict[str, list[str]]) -> dict[str, str]:
+    """The column of each group that exists, whatever its case; KeyError for a group without any."""
+    found = {name: pick_first(df, names) for name, names in groups.items()}
+    missing = [n for n, c in found.items() if c is None]
+    if missing:
+        raise KeyError(f"no column for: {', '.join(missing)}")
+    return found
+
+
+def resolve(df: DataFrame, name: str) -> str | None:
+    """The column of a name regardless of case, accents, blanks, hyphens and underscores."""
+    import unicodedata
+
+    def plain(x: str) -> str:
+        return "".join(c for c in unicodedata.normalize("NFKD", x).lower() if c.isalnum())
+
+    return next((c for c in df.columns if plain(c) == plain(name)), None)
+
+
+def sort_by(df: DataFrame, columns: list[str], ascending: bool | list[bool] = True, tie: str | None = None) -> DataFrame:
+    """Sort by columns, each up or down, nulls last; KeyError for a column that is missing. `tie` settles equal rows."""
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise KeyError(f"no column: {', '.join(missing)}")
+    ups = ascending if isinstance(ascending, list) else [ascending] * len(columns)
+    order = [F.col(c).asc_nulls_last() if up else F.col(c).desc_nulls_last() for c, up in zip(columns, ups)]
+    return df.orderBy(*order, *([F.col(tie)] if tie else []))

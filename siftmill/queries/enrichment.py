@@ -9,12 +9,16 @@ from pyspark.sql import functions as F
 
 from ..functions import contact as C
 from ..functions import matching as M
+from ..functions import numbers as N
+from ..functions import scores as S
 from ..functions import text as T
 from ..operators import enrichment as B
 from ..operators import quality as Q
+from ..operators import relational as R
 from ..session import table
 from ..streaming import events as E
-from .catalogue import _b, _host, _norm
+from .catalogue import _EOK, _GL, _b, _h, _host, _norm
+from .deliveries import _STAFF
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -157,3 +161,65 @@ def breaker_cooldown(spark, base):
     df = table(spark, base, "events")
     opened = E.breaker(df, "user_id", "event_type = 'error'", 6 * 3600, 0.5, 2).filter("opened").select("event_id")
     return E.alerts(df.join(opened, "event_id", "left_semi"), "user_id", "true", 3600)
+
+
+_N8 = "list_max(list_transform(regexp_extract_all(effectif, '([0-9]+)', 1), lambda x: x::BIGINT))"
+
+
+@query(f"SELECT row_id, coalesce({_STAFF}, CASE WHEN {_N8} <= 10 THEN '1-10' WHEN {_N8} <= 50 THEN '11-50' WHEN {_N8} <= 200 THEN '51-200' WHEN {_N8} <= 500 THEN '201-500' WHEN {_N8} <= 1000 THEN '501-1000' WHEN {_N8} <= 5000 THEN '1001-5000' WHEN {_N8} <= 10000 THEN '5001-10000' WHEN {_N8} IS NOT NULL THEN '10000+' END) AS size FROM standardize")
+def size_classes(spark, base):
+    return table(spark, base, "standardize").select("row_id", N.size_class(F.col("effectif")).alias("size"))
+
+
+@query("SELECT row_id, coalesce(date_diff('day', try_cast(date_creation AS DATE), DATE '2024-06-30') BETWEEN 0 AND 365, false) AS recent FROM standardize")
+def recent_records(spark, base):
+    return table(spark, base, "standardize").select("row_id", N.recent(F.col("date_creation"), F.lit("2024-06-30").cast("date"), 365).alias("recent"))
+
+
+@query("SELECT user_id, count(*) AS requests, count(*) FILTER (WHERE event_type = 'error') AS errors, round(count(*) FILTER (WHERE event_type = 'error') * 100.0 / count(*), 4)::DOUBLE AS error_rate, round(sum(value), 4) AS total FROM events GROUP BY 1")
+def request_counters(spark, base):
+    return Q.request_counters(table(spark, base, "events"), "user_id", F.col("event_type") == "error", "value")
+
+
+@query("SELECT 'k' AS key, max(try_cast(json_extract_string(props, '$.k') AS DOUBLE)) AS top FROM events HAVING count(*) > 0")
+def greatest_in_json(spark, base):
+    return Q.greatest_in_json(table(spark, base, "events"), "props", "k")
+
+
+_LOCAL = "lower(split_part(email, '@', 1))"
+_NOM = f"(contains(email, '@') AND len(list_filter(string_split_regex({_LOCAL}, '[._-]+'), lambda t: length(t) >= 3 AND regexp_full_match(t, '[a-z]+') AND t NOT IN ({_GL}))) > 0 AND {_LOCAL} NOT IN ({_GL}))"
+
+
+@query(f"""WITH s AS (SELECT *, count(*) OVER (PARTITION BY siret) AS ns FROM standardize)
+SELECT row_id, round((CASE WHEN coalesce({_NOM}, false) THEN 35 WHEN {_h('email')} = 1 THEN 20 ELSE 0 END + 20 * {_h('telephone')} + CASE WHEN starts_with(siteweb, 'https') THEN 10 ELSE 0 END) / 65.0 * 55 + ({_h('denomination')} + {_h('adresse')} + {_h('naf')}) * 10 / 30.0 * 20
++ (CASE WHEN trim(siret) <> '' AND ns = 1 THEN 1 ELSE 0 END) * 5 + CASE WHEN coalesce(date_diff('day', try_cast(date_creation AS DATE), DATE '2024-06-30') BETWEEN 0 AND 365, false) THEN 10 ELSE 0 END, 4)::DOUBLE AS score FROM s""")
+def enrich_scores(spark, base):
+    df = table(spark, base, "standardize")
+    one = df.groupBy("siret").agg(F.count("*").alias("n")).filter("trim(siret) <> '' and n = 1").select("siret", F.lit(1).alias("u"))
+    has = lambda c: F.coalesce(F.trim(T.blank_to_null(F.col(c))) != "", F.lit(False))
+    filled = has("denomination").cast("int") + has("adresse").cast("int") + has("naf").cast("int")
+    s = S.enrich(C.email_kind(F.col("email")) == "nominative", has("email"), has("telephone"), F.col("siteweb").startswith("https"), filled, F.coalesce("u", F.lit(0)), N.recent(F.col("date_creation"), F.lit("2024-06-30").cast("date"), 365))
+    return df.join(one, "siret", "left").select("row_id", F.round(s, 4).alias("score"))
+
+
+@query(f"SELECT row_id, email FROM standardize WHERE {_EOK} ORDER BY email NULLS LAST, row_id DESC LIMIT 300")
+def sorted_rows(spark, base):
+    df = table(spark, base, "standardize")
+    found = R.require(df, {"mail": ["EMAIL", "mail"], "id": ["row_id"]})
+    ok = df.filter(C.email_check(F.col(found["mail"]))["is_valid"])
+    return R.sort_by(ok, [R.resolve(ok, "E-mail"), found["id"]], [True, False]).select("row_id", "email").limit(300)
+
+
+@query()
+def address_success(spark, base):
+    from ..ml import address_classes
+
+    return address_classes(table(spark, base, "apify_agents"))
+
+
+@query()
+def hashed_embeddings(spark, base):
+    from ..ml import hashed_embedding
+
+    v = hashed_embedding(table(spark, base, "maps_scraper").select("maps_id", "maps_name"), "maps_name")
+    return v.select("maps_id", F.size("embedding").alias("size"), F.round(F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x)), 6).alias("norm"))
