@@ -17,6 +17,13 @@ def p1_found(spark: SparkSession, base: str) -> DataFrame:
     return addresses.same_address(records, towns, conf)
 
 
+def p1_classes(spark: SparkSession, base: str) -> DataFrame:
+    conf = addresses.AddressConf()
+    s = table(spark, base, "standardize")
+    towns = addresses.commune_dictionary(s, "code_postal", "commune", conf)
+    return addresses.address_classes(addresses.address_records(s, table(spark, base, "maps_scraper"), table(spark, base, "page_extraction")), towns, conf)
+
+
 def p3_found(spark: SparkSession, base: str) -> DataFrame:
     return boilerplate.strip_boilerplate(table(spark, base, "page_result"))
 
@@ -28,6 +35,12 @@ def p5_found(spark: SparkSession, base: str) -> DataFrame:
     return names.same_names(records, towns)
 
 
+def p5_classes(spark: SparkSession, base: str) -> DataFrame:
+    s = table(spark, base, "standardize")
+    towns = addresses.commune_dictionary(s, "code_postal", "commune", addresses.AddressConf())
+    return names.name_classes(names.name_records(table(spark, base, "scrape_context"), table(spark, base, "maps_scraper"), s), towns)
+
+
 def p7_scored(spark: SparkSession, base: str) -> DataFrame:
     towns = addresses.commune_dictionary(table(spark, base, "standardize"), "code_postal", "commune", addresses.AddressConf())
     return softlogic.link(table(spark, base, "maps_scraper"), table(spark, base, "scrape_context"), towns)
@@ -73,5 +86,5 @@ def p10_rates(spark: SparkSession, base: str) -> DataFrame:
     return toxicity.rates_by_source(_toxic_scores(spark, base, conf), conf)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p3_found, p4_found, p5_found, p7_found, p7_scored, p8_containers, p8_usage, p9_found, p10_found, p10_scores, p10_rates)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_classes, p3_found, p4_found, p5_found, p5_classes, p7_found, p7_scored, p8_containers, p8_usage, p9_found, p10_found, p10_scores, p10_rates)}
 SQL: dict[str, str] = {}
