@@ -277,7 +277,8 @@ def weighted_means(spark, base):
     return table(spark, base, "part").groupBy("p_brand").agg(F.round(F.sum(F.col("p_retailprice") * F.col("p_size")) / F.sum("p_size"), 6).alias("weighted_mean"))
 
 
-@query()
+@query("""WITH n AS (SELECT count(*) AS n FROM documents WHERE text IS NOT NULL), w AS (SELECT DISTINCT doc_id, unnest(list_distinct(string_split_regex(lower(text), '[^\\p{L}]+'))) AS word FROM documents WHERE text IS NOT NULL)
+SELECT word, count(*) AS n FROM w WHERE length(word) > 2 GROUP BY 1 HAVING count(*) >= (SELECT greatest(1, 0.2 * n) FROM n)""")
 def frequent_words(spark, base):
     return Q.frequent_words(table(spark, base, "documents"), "text", 0.2)
 
@@ -453,7 +454,11 @@ def breaker_ratio(spark, base):
     return E.breaker(table(spark, base, "events"), "user_id", "value > 50", 3600, 0.5, 2)
 
 
-@query()
+_STEPS = """r AS (SELECT key, min(x) AS x FROM e GROUP BY 1 UNION ALL SELECT e.key, min(e.x) FROM r JOIN e ON e.key = r.key AND e.x >= ((r.x // 1000000000) + 3600) * 1000000000 GROUP BY e.key, r.x)
+SELECT x % 1000000000 AS event_id, key, x // 1000000000 AS ts FROM r"""
+
+
+@query("WITH RECURSIVE e AS (SELECT event_type AS key, floor(epoch(ts))::BIGINT * 1000000000 + event_id AS x FROM events WHERE value > 50), " + _STEPS)
 def alert_cooldown(spark, base):
     return E.alerts(table(spark, base, "events"), "event_type", "value > 50", 3600)
 

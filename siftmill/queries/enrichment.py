@@ -17,7 +17,7 @@ from ..operators import quality as Q
 from ..operators import relational as R
 from ..session import table
 from ..streaming import events as E
-from .catalogue import _EOK, _GL, _b, _h, _host, _norm
+from .catalogue import _EOK, _GL, _STEPS, _b, _h, _host, _norm
 from .deliveries import _STAFF
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -155,7 +155,8 @@ def retained_events(spark, base):
     return E.retained(table(spark, base, "events"), "2024-01-30 00:00:00", 7).select("event_id")
 
 
-@query()
+@query("""WITH RECURSIVE o AS (SELECT user_id, ts, event_id, avg((event_type = 'error')::INT) OVER w AS s, count(*) OVER w AS n FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 6 HOURS PRECEDING AND CURRENT ROW)),
+e AS (SELECT user_id::VARCHAR AS key, floor(epoch(ts))::BIGINT * 1000000000 + event_id AS x FROM o WHERE s >= 0.5 AND n >= 2), """ + _STEPS)
 def breaker_cooldown(spark, base):
     """Circuits of users that open, and stay open for an hour."""
     df = table(spark, base, "events")
