@@ -84,10 +84,14 @@ def strip_tags(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(c, "(?s)<!--.*?-->|<(script|style)[^>]*>.*?</\\1>|<[^>]+>", " "), "\\s+", " "))
 
 
+# Ways that are abbreviated.
+WAYS = {"BD": "BOULEVARD", "BVD": "BOULEVARD", "AV": "AVENUE", "AVE": "AVENUE", "PL": "PLACE", "RTE": "ROUTE", "CHE": "CHEMIN", "IMP": "IMPASSE", "ALL": "ALLEE", "SQ": "SQUARE", "CRS": "COURS", "FG": "FAUBOURG"}
+
+
 def clean_address(c: Column) -> Column:
     """Single blanks and the usual abbreviations of ways in full, upper case without accents."""
     t = F.upper(strip_accents(F.trim(F.regexp_replace(c, "\\s+", " "))))
-    for short, full in {"BD": "BOULEVARD", "BVD": "BOULEVARD", "AV": "AVENUE", "AVE": "AVENUE", "PL": "PLACE", "RTE": "ROUTE", "CHE": "CHEMIN", "IMP": "IMPASSE", "ALL": "ALLEE", "SQ": "SQUARE", "CRS": "COURS", "FG": "FAUBOURG"}.items():
+    for short, full in WAYS.items():
         t = F.regexp_replace(t, rf"\b{short}\b\.?", full)
     return t
 
@@ -141,3 +145,25 @@ def pii_masker(salt: str):
         return texts.map(one, na_action="ignore")
 
     return mask
+
+
+def name_forms(c: Column) -> Column:
+    """struct(letters, initial, acronym, core, confidence) of a company name.
+
+    letters: all its letters together; acronym: first letters of two or more tokens; core:
+    the longest token (the first of equals); confidence: .9 for one token, less .15 for
+    each further one, not below .3. A name without tokens has nulls.
+    """
+    t = company_tokens(c)
+    n = F.size(t)
+    letters = F.nullif(F.regexp_replace(normalize_text(c), "[^a-z]", ""), F.lit(""))
+    core = F.get(F.filter(t, lambda w: F.length(w) == F.array_max(F.transform(t, lambda x: F.length(x)))), F.lit(0))
+    return F.struct(
+        letters.alias("letters"), F.substring(letters, 1, 1).alias("initial"), F.when(n > 1, F.upper(F.array_join(F.transform(t, lambda w: F.substring(w, 1, 1)), ""))).alias("acronym"), core.alias("core"),
+        F.when(n > 0, F.round(F.greatest(F.lit(0.3), F.lit(1.05) - 0.15 * n), 2)).alias("confidence"),
+    )
+
+
+def word_list(text: str) -> list[str]:
+    """Entries of a list file: in small letters, without comments and blanks, each once in order."""
+    return list(dict.fromkeys(w for line in text.splitlines() if (w := line.split("#", 1)[0].strip().lower())))

@@ -137,6 +137,14 @@ def sites_in(c: Column) -> Column:
     return F.transform(kept, lambda x: x["u"])
 
 
+def pages_to_try(home: Column, links: Column, paths: list[str], most: int) -> Column:
+    """The first page, usual paths of its host and the links that lead to it, each once, the first `most`."""
+    root = F.regexp_extract(home, r"^([A-Za-z]+://[^/?#]*)", 1)
+    usual = F.transform(F.array(*[F.lit(p) for p in paths]), lambda p: F.concat(root, F.lit("/"), p))
+    own = F.filter(F.transform(links, lambda x: resolved(home, x)), lambda x: host(x) == host(home))
+    return F.slice(F.array_distinct(F.concat(F.array(home), usual, F.coalesce(own, F.array().cast("array<string>")))), 1, most)
+
+
 def jsonld_contacts(html: Column) -> Column:
     """struct(emails, phones) of the linked data of a page at any depth; unreadable data is searched as text."""
     blocks = F.regexp_extract_all(html, F.lit(r"(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>"), F.lit(1))

@@ -145,3 +145,8 @@ def sort_by(df: DataFrame, columns: list[str], ascending: bool | list[bool] = Tr
     ups = ascending if isinstance(ascending, list) else [ascending] * len(columns)
     order = [F.col(c).asc_nulls_last() if up else F.col(c).desc_nulls_last() for c, up in zip(columns, ups)]
     return df.orderBy(*order, *([F.col(tie)] if tie else []))
+
+
+def fill_blanks(df: DataFrame, guesses: dict[str, str]) -> DataFrame:
+    """Existing values stay; blank and missing ones take the guess of another column."""
+    return df.withColumns({c: F.coalesce(blank_to_null(F.col(c)), F.col(g)) for c, g in guesses.items()})

@@ -12,12 +12,13 @@ from ..functions import matching as M
 from ..functions import numbers as N
 from ..functions import scores as S
 from ..functions import text as T
+from ..functions import web as W
 from ..operators import enrichment as B
 from ..operators import quality as Q
 from ..operators import relational as R
 from ..session import table
 from ..streaming import events as E
-from .catalogue import _EOK, _GL, _STEPS, _b, _h, _host, _norm
+from .catalogue import _EOK, _GL, _LF, _STEPS, _b, _h, _host, _norm
 from .deliveries import _STAFF
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -211,6 +212,44 @@ def sorted_rows(spark, base):
     return R.sort_by(ok, [R.resolve(ok, "E-mail"), found["id"]], [True, False]).select("row_id", "email").limit(300)
 
 
+_TK = f"list_filter(string_split({_norm('denomination')}, ' '), lambda x: x <> '' AND x NOT IN ({_LF}))"
+_LT = f"nullif(regexp_replace({_norm('denomination')}, '[^a-z]', '', 'g'), '')"
+
+
+@query(f"""WITH t AS (SELECT context_id, {_TK} AS t, {_LT} AS letters FROM scrape_context WHERE denomination IS NOT NULL)
+SELECT context_id, letters, letters[1:1] AS initial, CASE WHEN len(t) > 1 THEN upper(array_to_string(list_transform(t, lambda w: w[1:1]), '')) END AS acronym, list_filter(t, lambda w: length(w) = list_max(list_transform(t, lambda x: length(x))))[1] AS core,
+CASE WHEN len(t) > 0 THEN round(greatest(0.3, 1.05 - 0.15 * len(t)), 2)::DOUBLE END AS confidence FROM t""")
+def name_forms(spark, base):
+    f = T.name_forms(F.col("denomination"))
+    return table(spark, base, "scrape_context").filter("denomination is not null").select("context_id", *[f[c].alias(c) for c in ("letters", "initial", "acronym", "core", "confidence")])
+
+
+_ADR = "upper(strip_accents(replace(replace(trim(regexp_replace(adresse, '\\s+', ' ', 'g')), 'œ', 'oe'), 'Œ', 'OE')))"
+for _short, _full in T.WAYS.items():
+    _ADR = f"regexp_replace({_ADR}, '\\b{_short}\\b\\.?', '{_full}', 'g')"
+
+
+@query(f"SELECT row_id, {_ADR} AS address FROM standardize WHERE adresse IS NOT NULL")
+def clean_addresses(spark, base):
+    return table(spark, base, "standardize").filter("adresse is not null").select("row_id", T.clean_address(F.col("adresse")).alias("address"))
+
+
+@query("SELECT event_id, user_id, round(value, 4) AS value FROM events WHERE event_type = 'error' ORDER BY ts DESC, event_id DESC LIMIT 10")
+def latest_alerts(spark, base):
+    return table(spark, base, "events").filter("event_type = 'error'").orderBy(F.desc("ts"), F.desc("event_id")).limit(10).select("event_id", "user_id", F.round("value", 4).alias("value"))
+
+
+@query(f"SELECT row_id, coalesce({_b('enseigne')}, denomination) AS enseigne FROM standardize")
+def filled_blanks(spark, base):
+    return R.fill_blanks(table(spark, base, "standardize"), {"enseigne": "denomination"}).select("row_id", "enseigne")
+
+
+@query("""SELECT page_id, array_to_string(list_distinct([url, regexp_extract(url, '^([A-Za-z]+://[^/?#]*)', 1) || '/contact', regexp_extract(url, '^([A-Za-z]+://[^/?#]*)', 1) || '/mentions-legales']).list_sort(), '|') AS urls FROM page_result WHERE url IS NOT NULL""")
+def pages_to_try(spark, base):
+    none = F.lit(None).cast("array<string>")
+    return table(spark, base, "page_result").filter("url is not null").select("page_id", F.array_join(F.array_sort(W.pages_to_try(F.col("url"), none, ["contact", "mentions-legales"], 20)), "|").alias("urls"))
+
+
 @query()
 def address_success(spark, base):
     from ..ml import address_classes
